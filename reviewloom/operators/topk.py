@@ -77,6 +77,11 @@ def _result_schema(queries: DataFrame, vectors: DataFrame, query_id: str, vector
     ])
 
 
+def _numbers(count: Column) -> Column:
+    """Block numbers 0 .. count-1."""
+    return F.sequence(F.lit(0).cast("bigint"), count.cast("bigint") - 1)
+
+
 def _rank(local: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vector_id")
     return local.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -151,11 +156,11 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, *, query_id: str =
     left = queries.select(
         F.col(query_id).alias("id"), F.col(query_vec).alias("vec"),
         F.pmod(F.xxhash64(query_id), F.lit(cols)).alias("_c"),
-        F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).cast("bigint").alias("_r"))
+        F.explode(_numbers(F.lit(rows))).alias("_r"))
     right = vectors.select(
         F.col(vector_id).alias("id"), F.col(vector_vec).alias("vec"),
         F.pmod(F.xxhash64(vector_id), F.lit(rows)).alias("_r"),
-        F.explode(F.sequence(F.lit(0), F.lit(cols - 1))).cast("bigint").alias("_c"))
+        F.explode(_numbers(F.lit(cols))).alias("_c"))
     return _rank(_block_search(left, right, _result_schema(queries, vectors, query_id, vector_id), k, metric), k)
 
 
@@ -172,19 +177,16 @@ def cluster_top_k(probes: DataFrame, clustered: DataFrame, k: int = 5, *, query_
              .join(probes.groupBy("cluster").agg(F.ceil(F.count("*") / F.lit(block_queries)).alias("_cols")), "cluster"))
     sizes = F.broadcast(sizes)
 
-    def spread(count: str) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
-
     def block(cluster: Column, number: Column) -> Column:
         return cluster.cast("bigint") * F.lit(1 << 32) + number
 
     left = (probes.join(sizes, "cluster")
-            .select("*", spread("_rows").alias("_row"))
+            .select("*", F.explode(_numbers(F.col("_rows"))).alias("_row"))
             .select(F.col(query_id).alias("id"), F.col(query_vec).alias("vec"),
                     block(F.col("cluster"), F.col("_row")).alias("_r"),
                     F.pmod(F.xxhash64(query_id), F.col("_cols")).alias("_c")))
     right = (clustered.join(sizes, "cluster")
-             .select("*", spread("_cols").alias("_c"))
+             .select("*", F.explode(_numbers(F.col("_cols"))).alias("_c"))
              .select(F.col(vector_id).alias("id"), F.col(vector_vec).alias("vec"),
                      block(F.col("cluster"), F.pmod(F.xxhash64(vector_id), F.col("_rows"))).alias("_r"), "_c"))
     return _rank(_block_search(left, right, _result_schema(probes, clustered, query_id, vector_id), k, metric), k)

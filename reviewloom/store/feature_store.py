@@ -37,7 +37,7 @@ def alive(df: DataFrame, time: str, ttl: timedelta | None, as_of: datetime | Col
     if ttl is None:
         return df
     now = as_of if isinstance(as_of, Column) else F.lit(_utc(as_of))
-    return df.filter(F.unix_micros(F.col(time)) >= F.unix_micros(now) - F.lit(int(ttl / timedelta(microseconds=1))))
+    return df.filter(F.unix_micros(F.col(time).cast("timestamp")) >= F.unix_micros(now) - F.lit(int(ttl / timedelta(microseconds=1))))
 
 
 def _utc(moment: datetime) -> datetime:
