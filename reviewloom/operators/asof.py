@@ -4,15 +4,17 @@ Usual keys take one shuffle and one sort: feature and entity rows are put in one
 frame, ordered by time with features first, and the last feature row is carried
 forward.  Keys holding very many rows are cut into time chunks at their own
 quantiles, each chunk starting with the feature row carried over from before it,
-so that no key has to fit one task.
+so that no key has to fit one task.  Features with a single row per key, as a full
+feature run leaves them, need no ordering and become an equi-join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 # A key above this many rows is cut into chunks; at most HOT_KEYS keys are treated so,
@@ -22,15 +24,25 @@ HOT_KEYS = 10_000
 CHUNKS = 256
 
 
-def hot_keys(frames: Sequence[DataFrame], key: str, hot_rows: int = HOT_ROWS) -> list:
-    """Keys whose row count over all frames exceeds ``hot_rows``; at most ``HOT_KEYS`` of them."""
-    counts = [f.groupBy(key).agg(F.count("*").alias("_n")) for f in frames]
-    total = counts[0]
-    for other in counts[1:]:
-        total = total.unionByName(other)
-    heavy = (total.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum("_n").alias("_n"))
-                  .filter(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(HOT_KEYS))
-    return [row[key] for row in heavy.collect()]
+@dataclass(frozen=True)
+class KeyProfile:
+    """What decides the plan: the keys too heavy for one task, and whether features have one row per key."""
+
+    hot: tuple
+    single_version: bool
+
+
+def profile_keys(entities: DataFrame, features: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> KeyProfile:
+    """Count rows per key on both sides; only the key columns are read and at most ``HOT_KEYS`` keys return."""
+    left = entities.groupBy(key).agg(F.count("*").alias("_e"))
+    right = features.groupBy(key).agg(F.count("*").alias("_f"))
+    both = (left.unionByName(right, allowMissingColumns=True).filter(F.col(key).isNotNull())
+                .groupBy(key).agg(F.coalesce(F.sum("_e"), F.lit(0)).alias("_e"), F.coalesce(F.sum("_f"), F.lit(0)).alias("_f")))
+    seen = Observation()
+    heavy = (both.observe(seen, F.max("_f").alias("versions"))
+                 .filter(F.col("_e") + F.col("_f") > hot_rows).orderBy(F.desc(F.col("_e") + F.col("_f"))).limit(HOT_KEYS))
+    hot = tuple(row[key] for row in heavy.collect())
+    return KeyProfile(hot, (seen.get["versions"] or 0) <= 1)
 
 
 def _ttl_floor(time: Column, ttl: timedelta) -> Column:
@@ -84,36 +96,41 @@ def _chunked(entities: DataFrame, features: DataFrame, key: str, chunks: int) ->
 def asof_join(entities: DataFrame, features: DataFrame, key: str, columns: Sequence[str], *,
               entity_time: str = "event_timestamp", feature_time: str = "event_timestamp",
               ttl: timedelta | None = None, created: str | None = None, matched_time: str | None = None,
-              hot_rows: int | None = HOT_ROWS, chunks: int = CHUNKS) -> DataFrame:
+              hot_rows: int | None = HOT_ROWS, chunks: int = CHUNKS, profile: KeyProfile | None = None) -> DataFrame:
     """Entity rows with the feature ``columns`` valid at their time; all entity rows are kept.
 
     A feature row is valid when ``f.time <= e.time`` and ``f.time > e.time - ttl``.  Of
     feature rows with equal time the last created one counts.  ``matched_time`` names an
     extra output column with the time of the chosen row.  Rows with a null key or time
-    get null features.
+    get null features.  ``hot_rows=None`` skips the key count and uses the usual plan;
+    a ``profile`` counted earlier saves counting again.
     """
-    micros = F.unix_micros
+    usable = features.filter(F.col(key).isNotNull() & F.col(feature_time).isNotNull())
+    if profile is None:
+        profile = profile_keys(entities, usable, key, hot_rows) if hot_rows else KeyProfile((), False)
+    if profile.single_version:
+        return _single_version(entities, usable, key, columns, entity_time, feature_time, ttl, matched_time)
+
+    moment = F.unix_micros(F.col(feature_time).cast("timestamp"))
     rank = ([F.col(created)] if created else []) + [F.col(c) for c in columns if features.schema[c].dataType.typeName() != "map"]
     payload = F.struct(
-        micros(F.col(feature_time).cast("timestamp")).alias("us"),
+        moment.alias("us"),
         F.col(feature_time).cast("timestamp").alias("time"),
         F.struct(*[F.col(c) for c in columns]).alias("values"),
         F.struct(*[r.alias(f"r{i}") for i, r in enumerate(rank)]).alias("rank"),
     )
-    usable = features.filter(F.col(key).isNotNull() & F.col(feature_time).isNotNull())
-    right = usable.select(F.col(key), micros(F.col(feature_time).cast("timestamp")).alias("_us"), payload.alias("_payload"))
+    right = usable.select(F.col(key), moment.alias("_us"), payload.alias("_payload"))
 
     whole = F.struct(*[F.col(c) for c in entities.columns])
     has_key = F.col(key).isNotNull() & F.col(entity_time).isNotNull()
     left = entities.filter(has_key).select(
-        F.col(key), micros(F.col(entity_time).cast("timestamp")).alias("_us"), whole.alias("_entity"))
+        F.col(key), F.unix_micros(F.col(entity_time).cast("timestamp")).alias("_us"), whole.alias("_entity"))
     no_key = entities.filter(~has_key).select(
         F.lit(None).cast("bigint").alias("_us"), whole.alias("_entity"),
         F.lit(None).cast(right.schema["_payload"].dataType).alias("_found"))
 
-    heavy = hot_keys([left, right], key, hot_rows) if hot_rows else []
-    if heavy:
-        listed = F.broadcast(left.sparkSession.createDataFrame([(k,) for k in heavy], [key])
+    if profile.hot:
+        listed = F.broadcast(left.sparkSession.createDataFrame([(k,) for k in profile.hot], [key])
                              .select(F.col(key).cast(left.schema[key].dataType)))
         usual = _timeline(left.join(listed, key, "left_anti"), right.join(listed, key, "left_anti"), [key], ["_payload.rank"])
         dense = _chunked(left.join(listed, key, "left_semi"), right.join(listed, key, "left_semi"), key, chunks)
@@ -129,3 +146,22 @@ def asof_join(entities: DataFrame, features: DataFrame, key: str, columns: Seque
     if matched_time:
         picked.append(F.col("_found.time").alias(matched_time))
     return found.select("_entity.*", *picked)
+
+
+def _single_version(entities: DataFrame, features: DataFrame, key: str, columns: Sequence[str], entity_time: str,
+                    feature_time: str, ttl: timedelta | None, matched_time: str | None) -> DataFrame:
+    """One feature row per key: an equi-join whose match is blanked outside its validity.
+
+    A small feature table is broadcast by Spark; otherwise adaptive execution splits a
+    hot key on the entity side, as the feature side has one row for it.
+    """
+    right = features.select(F.col(key), F.col(feature_time).cast("timestamp").alias("_time"),
+                            *[F.col(c).alias(f"_f{i}") for i, c in enumerate(columns)])
+    at, since = F.unix_micros(F.col(entity_time).cast("timestamp")), F.unix_micros("_time")
+    valid = since <= at
+    if ttl is not None:
+        valid = valid & (since > _ttl_floor(at, ttl))
+    picked = [F.when(valid, F.col(f"_f{i}")).alias(c) for i, c in enumerate(columns)]
+    if matched_time:
+        picked.append(F.when(valid, F.col("_time")).alias(matched_time))
+    return entities.join(right, key, "left").select(*entities.columns, *picked)

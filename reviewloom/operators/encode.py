@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewloom.session import spread
+
 Encoder = Callable[[list[str]], np.ndarray]
 
 # Vector length and batch size of the text encoder.
@@ -53,4 +55,4 @@ def embed_column(df: DataFrame, text: str, out: str = "embedding", encoder: Call
             parts = [model(filled[i:i + batch_size]) for i in range(0, len(filled), batch_size)]
             yield pd.Series([row for part in parts for row in np.asarray(part, dtype=np.float32)], dtype=object)
 
-    return df.withColumn(out, encode(F.col(text)))
+    return spread(df).withColumn(out, encode(F.col(text)))

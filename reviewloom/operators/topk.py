@@ -22,6 +22,7 @@ FEW_QUERIES = 4_096
 BLOCK_QUERIES = 4_096
 BLOCK_VECTORS = 65_536
 QUERY_STRIPE = 256
+MIN_BLOCK = 1_024
 # Scores are ranked after rounding to this many digits, so that equal vectors tie
 # exactly wherever they are computed; ties go to the smaller vector id.
 RANK_DIGITS = 9
@@ -38,13 +39,13 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return rows.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), int(lengths[0]))
 
 
-def _unit(matrix: np.ndarray, metric: str) -> np.ndarray:
-    """Rows scaled to unit length for cosine; a zero row becomes NaN and never ranks."""
+def _ready(matrix: np.ndarray, names: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """Rows scaled to unit length for cosine; zero rows have no direction and are left out."""
     if metric == "dot" or matrix.size == 0:
-        return matrix
+        return matrix, names
     norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return np.where(norms[:, None] > 0, matrix / norms[:, None], np.nan)
+    kept = norms > 0
+    return matrix[kept] / norms[kept, None], names[kept]
 
 
 def _best(table: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -53,20 +54,22 @@ def _best(table: pd.DataFrame, k: int) -> pd.DataFrame:
 
 
 def _local_top(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> pd.DataFrame:
-    """Best ``k`` rows of one block for every query; stripes bound the score matrix."""
-    found = []
-    for start in range(0, len(queries), QUERY_STRIPE):
-        stripe = queries[start:start + QUERY_STRIPE]
-        scores = np.round(vectors @ stripe.T, RANK_DIGITS)
-        scores[np.isnan(scores)] = -np.inf
-        if len(vectors) > k:
-            floor = np.partition(scores, len(vectors) - k, axis=0)[len(vectors) - k]
-            keep = (scores >= floor) & (scores > -np.inf)
+    """Best ``k`` rows of one block for every query; stripes bound the score matrix.
+
+    Candidates are cut a little below the k-th raw score, then rounded and ranked, so the
+    choice is the same as ranking all rounded scores.
+    """
+    found = [pd.DataFrame({"q": np.zeros(0, int), "vid": ids[:0], "score": np.zeros(0)})]
+    for start in range(0, len(queries) if len(vectors) else 0, QUERY_STRIPE):
+        scores = queries[start:start + QUERY_STRIPE] @ vectors.T
+        if scores.shape[1] > k:
+            floor = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k]
+            rows, cols = np.nonzero(scores >= floor[:, None] - 2 * 10.0 ** -RANK_DIGITS)
         else:
-            keep = scores > -np.inf
-        rows, cols = np.nonzero(keep)
-        found.append(_best(pd.DataFrame({"q": cols + start, "vid": ids[rows], "score": scores[rows, cols]}), k))
-    return pd.concat(found, ignore_index=True) if found else pd.DataFrame({"q": [], "vid": [], "score": []})
+            rows, cols = (a.ravel() for a in np.indices(scores.shape))
+        top = pd.DataFrame({"q": rows + start, "vid": ids[cols], "score": np.round(scores[rows, cols], RANK_DIGITS)})
+        found.append(_best(top, k))
+    return pd.concat([f for f in found if len(f)] or found[:1], ignore_index=True)
 
 
 def _result_schema(queries: DataFrame, vectors: DataFrame, query_id: str, vector_id: str) -> T.StructType:
@@ -90,52 +93,58 @@ def _rank(local: DataFrame, k: int) -> DataFrame:
 def _broadcast_search(query_rows: list, queries: DataFrame, vectors: DataFrame, k: int, query_id: str,
                       query_vec: str, vector_id: str, vector_vec: str, metric: str) -> DataFrame:
     context = vectors.sparkSession.sparkContext
-    ids = [r[query_id] for r in query_rows]
+    ids = np.array([r[query_id] for r in query_rows], dtype=object)
     matrix = np.array([r[query_vec] for r in query_rows], dtype=np.float64)
-    sent = context.broadcast((ids, _unit(matrix, metric)))
+    sent = context.broadcast(_ready(matrix, ids, metric))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, wanted = sent.value
-        best = pd.DataFrame({"q": [], "vid": [], "score": []})
+        wanted, names = sent.value
+        best = None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            block = _unit(_matrix(batch.column(1)), metric)
-            top = _local_top(wanted, block, batch.column(0).to_numpy(zero_copy_only=False), k)
-            best = _best(pd.concat([best, top], ignore_index=True), k) if len(best) else top
-        if len(best):
-            picked = best["q"].astype(int)
+            block, found = _ready(_matrix(batch.column(1)), batch.column(0).to_numpy(zero_copy_only=False), metric)
+            top = _local_top(wanted, block, found, k)
+            best = top if best is None else _best(pd.concat([best, top], ignore_index=True), k)
+        if best is not None and len(best):
             yield pa.RecordBatch.from_pydict({
-                "query_id": pa.array([names[i] for i in picked]),
-                "vector_id": pa.array(best["vid"].tolist()),
-                "score": pa.array(best["score"].to_numpy(dtype=np.float64)),
-            })
+                "query_id": names[best["q"].to_numpy()].tolist(), "vector_id": best["vid"].tolist(),
+                "score": best["score"].to_numpy(),
+            }, schema=out)
 
     plain = vectors.select(vector_id, vector_vec)
     schema = _result_schema(queries, vectors, query_id, vector_id)
     if any(f.dataType not in (T.LongType(), T.StringType()) for f in schema.fields[:2]):
         raise TypeError("query and vector ids must be bigint or string")
+    out = _arrow_schema(schema)
     return plain.mapInArrow(search, schema)
 
 
-def _block_search(queries: DataFrame, vectors: DataFrame, schema: T.StructType, k: int, metric: str) -> DataFrame:
-    """Search within blocks.  Inputs carry ``_r, _c`` block numbers, an id and a vector."""
+def _arrow_schema(schema: T.StructType) -> pa.Schema:
+    kinds = {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64()}
+    return pa.schema([(f.name, kinds[f.dataType.simpleString()]) for f in schema.fields])
+
+
+def _block_search(queries: DataFrame, vectors: DataFrame, blocks: int, schema: T.StructType, k: int, metric: str) -> DataFrame:
+    """Search within blocks.  Inputs carry ``_r, _c`` block numbers, an id and a vector.
+
+    The blocks are few bytes but much arithmetic, so their number of partitions is fixed
+    and not coalesced by size.
+    """
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows == 0 or right.num_rows == 0:
-            return pa.Table.from_pydict({"query_id": [], "vector_id": [], "score": []}, schema=out)
-        wanted, block = _unit(_matrix(left.column("vec")), metric), _unit(_matrix(right.column("vec")), metric)
-        top = _local_top(wanted, block, right.column("id").to_numpy(), k)
-        names = left.column("id").to_numpy()
+            return out.empty_table()
+        wanted, names = _ready(_matrix(left.column("vec")), left.column("id").to_numpy(), metric)
+        block, found = _ready(_matrix(right.column("vec")), right.column("id").to_numpy(), metric)
+        top = _local_top(wanted, block, found, k)
         return pa.Table.from_pydict({
-            "query_id": names[top["q"].to_numpy(dtype=int)].tolist(),
-            "vector_id": top["vid"].tolist(),
-            "score": top["score"].to_numpy(dtype=np.float64),
+            "query_id": names[top["q"].to_numpy()].tolist(), "vector_id": top["vid"].tolist(), "score": top["score"].to_numpy(),
         }, schema=out)
 
-    out = pa.schema([(f.name, {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64()}[f.dataType.simpleString()])
-                     for f in schema.fields])
-    pairs = queries.groupBy("_r", "_c").cogroup(vectors.groupBy("_r", "_c"))
-    return pairs.applyInArrow(search, schema)
+    out = _arrow_schema(schema)
+    parts = min(max(queries.sparkSession.sparkContext.defaultParallelism, blocks), 100_000)
+    left, right = (df.repartition(parts, "_r", "_c").groupBy("_r", "_c") for df in (queries, vectors))
+    return left.cogroup(right).applyInArrow(search, schema)
 
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, *, query_id: str = "query_id",
@@ -151,8 +160,12 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, *, query_id: str =
             return _rank(vectors.sparkSession.createDataFrame([], _result_schema(queries, vectors, query_id, vector_id)), k)
         return _rank(_broadcast_search(head, queries, vectors, k, query_id, query_vec, vector_id, vector_vec, metric), k)
 
-    rows = max(1, ceil(vectors.count() / block_vectors))
     cols = max(1, ceil(queries.count() / block_queries))
+    n_vectors = vectors.count()
+    rows = max(1, ceil(n_vectors / block_vectors))
+    # Small tables are cut finer, so that every core gets a block.
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    rows = max(rows, min(ceil(2 * cores / cols), ceil(n_vectors / MIN_BLOCK)))
     left = queries.select(
         F.col(query_id).alias("id"), F.col(query_vec).alias("vec"),
         F.pmod(F.xxhash64(query_id), F.lit(cols)).alias("_c"),
@@ -161,7 +174,7 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, *, query_id: str =
         F.col(vector_id).alias("id"), F.col(vector_vec).alias("vec"),
         F.pmod(F.xxhash64(vector_id), F.lit(rows)).alias("_r"),
         F.explode(_numbers(F.lit(cols))).alias("_c"))
-    return _rank(_block_search(left, right, _result_schema(queries, vectors, query_id, vector_id), k, metric), k)
+    return _rank(_block_search(left, right, rows * cols, _result_schema(queries, vectors, query_id, vector_id), k, metric), k)
 
 
 def cluster_top_k(probes: DataFrame, clustered: DataFrame, k: int = 5, *, query_id: str = "query_id",
@@ -175,6 +188,7 @@ def cluster_top_k(probes: DataFrame, clustered: DataFrame, k: int = 5, *, query_
     # One row per cluster on either side.
     sizes = (clustered.groupBy("cluster").agg(F.ceil(F.count("*") / F.lit(block_vectors)).alias("_rows"))
              .join(probes.groupBy("cluster").agg(F.ceil(F.count("*") / F.lit(block_queries)).alias("_cols")), "cluster"))
+    blocks = sizes.agg(F.sum(F.col("_rows") * F.col("_cols"))).first()[0] or 1
     sizes = F.broadcast(sizes)
 
     def block(cluster: Column, number: Column) -> Column:
@@ -189,4 +203,4 @@ def cluster_top_k(probes: DataFrame, clustered: DataFrame, k: int = 5, *, query_
              .select("*", F.explode(_numbers(F.col("_cols"))).alias("_c"))
              .select(F.col(vector_id).alias("id"), F.col(vector_vec).alias("vec"),
                      block(F.col("cluster"), F.pmod(F.xxhash64(vector_id), F.col("_rows"))).alias("_r"), "_c"))
-    return _rank(_block_search(left, right, _result_schema(probes, clustered, query_id, vector_id), k, metric), k)
+    return _rank(_block_search(left, right, int(blocks), _result_schema(probes, clustered, query_id, vector_id), k, metric), k)

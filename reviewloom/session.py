@@ -72,3 +72,13 @@ def small_or_as_is(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     if len(rows) > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give costly work one partition per core when the scan below has fewer.
+
+    ``keys`` should be unique or close to it; hashing them is cheaper than a round-robin
+    spread.  A scan of many files already has more partitions than cores and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewloom.session import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -13,6 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One review per line item: customer, part, a 1-5 rating and a short text."""
     lines, orders, parts = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "part"))
+    lines = spread(lines.select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate", "l_linenumber"), "l_orderkey")
     joined = (lines.join(orders, lines.l_orderkey == orders.o_orderkey)
                    .join(parts, lines.l_partkey == parts.p_partkey))
     return joined.select(
@@ -35,7 +38,7 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as reviews: source as user and title, and a star from the character count."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     return docs.select(
         "doc_id",
         F.col("source").alias("user_id"),

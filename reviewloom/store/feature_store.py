@@ -8,7 +8,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.operators.asof import HOT_ROWS, asof_join
+from reviewloom.operators.asof import HOT_ROWS, asof_join, profile_keys
 from reviewloom.operators.dedup import latest_per_key
 from reviewloom.sources.writers import key_bucket, write_keyed
 from reviewloom.store.registry import FeatureView, Registry
@@ -80,8 +80,11 @@ class FeatureStore:
                 raise ValueError("historical retrieval joins views with one key")
             rows = view.rows(self.spark)
             created = view.source.created_field if view.source.created_field in rows.columns else None
-            result = asof_join(result, rows, view.keys[0], columns, feature_time=view.source.timestamp_field,
-                               ttl=view.ttl, created=created, hot_rows=hot_rows)
+            key = view.keys[0]
+            # Counted on the entities as given, not on the rows already joined to earlier views.
+            profile = profile_keys(entities, rows, key, hot_rows) if hot_rows else None
+            result = asof_join(result, rows, key, columns, feature_time=view.source.timestamp_field,
+                               ttl=view.ttl, created=created, hot_rows=hot_rows, profile=profile)
         return result
 
     # Materialisation
