@@ -72,6 +72,11 @@ def review_id(user: Column | str = "user_id", item: Column | str = "parent_asin"
     return F.sha2(F.concat_ws("_", _col(user), _col(item), _col(ms).cast("string")), 256)
 
 
+def surrogate_id() -> Column:
+    """Unique number per row; it changes with the partitioning, so stable ids are preferred."""
+    return F.monotonically_increasing_id()
+
+
 def vector_key(identifier: Column | str) -> Column:
     """Primary key of a vector row: hex digest of the review id."""
     return F.sha2(_col(identifier).cast("string"), 256)

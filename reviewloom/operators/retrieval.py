@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.operators.ordered import running_totals
+from reviewloom.operators.ordered import dense_index
 from reviewloom.operators.topk import FEW_QUERIES, cluster_top_k, top_k
 
 # Prompt wording and text limits of the answer prompt.
@@ -38,30 +38,32 @@ def search_reviews(questions: DataFrame, reviews: DataFrame, k: int = 5, prefilt
     """Top reviews per question with their attributes.
 
     ``questions`` may carry ``product_id``; by default it narrows the found hits, with
-    ``prefilter`` it narrows the searched reviews of each product's questions.
+    ``prefilter`` only the reviews of the asked product are searched.
     """
-    attributes = reviews.drop(vector)
-    if prefilter:
-        probes = questions.select(query_id, query_vec, F.xxhash64("product_id").alias("_key"))
-        keyed = reviews.withColumn("_key", F.xxhash64("item_id"))
-        # Every product becomes one search group, numbered by its position among the asked products.
-        groups = _numbered(probes.select("_key").distinct())
-        found = cluster_top_k(probes.join(groups, "_key").drop("_key"), keyed.join(groups, "_key"), k,
-                              query_id=query_id, query_vec=query_vec, vector_id=review_id, vector_vec=vector)
+    names = {"query_id": query_id, "query_vec": query_vec, "vector_id": review_id, "vector_vec": vector}
+    asks_product = "product_id" in questions.columns
+    if prefilter and asks_product:
+        open_ended = F.coalesce(F.length("product_id") == 0, F.lit(True))
+        found = top_k(questions.filter(open_ended), reviews, k, **names).unionByName(
+            _search_products(questions.filter(~open_ended), reviews, k, names))
     else:
-        found = top_k(questions, reviews, k, query_id=query_id, query_vec=query_vec, vector_id=review_id, vector_vec=vector)
+        found = top_k(questions, reviews, k, **names)
     found = found.withColumnRenamed("query_id", query_id).withColumnRenamed("vector_id", review_id)
     if questions.limit(FEW_QUERIES + 1).count() <= FEW_QUERIES:
         # At most k hits for each of the counted questions: the reviews need no shuffle.
         found = F.broadcast(found)
-    hits = attributes.join(found, review_id)
-    if prefilter or "product_id" not in questions.columns:
+    hits = reviews.drop(vector).join(found, review_id)
+    if prefilter or not asks_product:
         return hits
     return prefer_product(hits.join(questions.select(query_id, "product_id"), query_id), query=query_id)
 
 
-def _numbered(keys: DataFrame) -> DataFrame:
-    return running_totals(keys, ["_key"], {"cluster": F.lit(1)}).withColumn("cluster", F.col("cluster").cast("int"))
+def _search_products(questions: DataFrame, reviews: DataFrame, k: int, names: dict) -> DataFrame:
+    """Each asked product is one search group; a product with many reviews is cut into blocks."""
+    groups = dense_index(questions, "product_id", "cluster")
+    probes = questions.join(groups, "product_id")
+    grouped = reviews.join(groups.withColumnRenamed("product_id", "item_id"), "item_id")
+    return cluster_top_k(probes, grouped, k, **names)
 
 
 def review_line(position: Column, rating: Column, title: Column, text: Column) -> Column:

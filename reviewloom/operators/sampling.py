@@ -114,6 +114,11 @@ def example_shares(train: float = 0.9, val: float = 0.05) -> dict[str, float]:
     return {"train": train, "val": val, "test": 1.0 - train - val}
 
 
+def random_splits(df: DataFrame, shares: Mapping[str, float], seed: int = 42) -> dict[str, DataFrame]:
+    """Spark's own random split; its result depends on the partitioning of ``df``."""
+    return dict(zip(shares, df.randomSplit(list(shares.values()), seed=seed)))
+
+
 # Shares of the interaction split.
 INTERACTION_SHARES = {"train": 0.9, "val": 0.1}
 
@@ -123,7 +128,8 @@ def negative_pairs(indexed: DataFrame, n_users: int, n_items: int, keys: tuple[s
     """``ratio`` random (user, item) index pairs per interaction, label 0.
 
     Indexes are dense, so a digest modulo the counts names the pair directly and no
-    id table is joined.  Seen pairs are left in unless ``exclude_seen`` is set.
+    id table is joined.  Identical interactions draw the same pairs.  Seen pairs are left
+    in unless ``exclude_seen`` is set.
     """
     draws = indexed.select(*keys, F.explode(F.sequence(F.lit(1), F.lit(ratio))).alias("_draw"))
     pairs = draws.select(

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewloom.session import small_or_as_is
+
 FEW_QUERIES = 4_096
 BLOCK_QUERIES = 4_096
 BLOCK_VECTORS = 65_536
@@ -185,11 +187,11 @@ def cluster_top_k(probes: DataFrame, clustered: DataFrame, k: int = 5, *, query_
     ``probes`` lists (query, cluster); both frames carry ``cluster``.  Large clusters and
     clusters probed by many queries are cut into bounded blocks by their counted size.
     """
-    # One row per cluster on either side.
+    # One row per searched cluster; broadcast only when counted to be few.
     sizes = (clustered.groupBy("cluster").agg(F.ceil(F.count("*") / F.lit(block_vectors)).alias("_rows"))
              .join(probes.groupBy("cluster").agg(F.ceil(F.count("*") / F.lit(block_queries)).alias("_cols")), "cluster"))
     blocks = sizes.agg(F.sum(F.col("_rows") * F.col("_cols"))).first()[0] or 1
-    sizes = F.broadcast(sizes)
+    sizes = small_or_as_is(sizes)
 
     def block(cluster: Column, number: Column) -> Column:
         return cluster.cast("bigint") * F.lit(1 << 32) + number

@@ -93,12 +93,13 @@ def text_job(spark: SparkSession, input_paths: str, output: str, max_examples: i
 
 
 def review_vectors(reviews: DataFrame, max_reviews: int | None = None, encoder: EncoderFactory | None = None,
-                   as_of: datetime | None = None) -> DataFrame:
-    """Review embeddings with their attributes; ids are stable between runs."""
+                   as_of: datetime | None = None, stable_ids: bool = True) -> DataFrame:
+    """Review embeddings with their attributes; ids are stable between runs unless surrogates are asked for."""
     df = unify_item_column(reviews).withColumn("embed_text", tx.embed_text())
     df = df.filter(F.length("embed_text") >= tx.MIN_EMBED_CHARS).withColumn("review_id", tx.review_id())
     df = cap_rows(df, max_reviews, ("review_id",))
-    staged = df.select("review_id", F.col("parent_asin").alias("item_id"), "user_id", "rating",
+    identifier = F.col("review_id") if stable_ids else tx.surrogate_id()
+    staged = df.select(identifier.alias("review_id"), F.col("parent_asin").alias("item_id"), "user_id", "rating",
                        F.col("title").alias("review_title"), "embed_text")
     encoded = embed_column(staged, "embed_text", encoder=encoder)
     moment = F.current_timestamp() if as_of is None else F.lit(as_of)

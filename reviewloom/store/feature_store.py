@@ -59,14 +59,18 @@ class FeatureStore:
     log; readers follow the newest log row, so a half-written version is never seen.
     """
 
-    def __init__(self, spark: SparkSession, path: str, registry: Registry | None = None, buckets: int = 10) -> None:
+    def __init__(self, spark: SparkSession, path: str, registry: Registry | None = None, buckets: int | None = None) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
         self.registry = registry or Registry()
-        self.buckets = buckets
+        # One writer task per bucket; follows the cluster's shuffle parallelism unless set.
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def apply(self, views: Sequence[FeatureView]) -> DataFrame:
-        return self.registry.apply(self.spark, views)
+        """Validate and register views, and record them in the registry table."""
+        table = self.registry.apply(self.spark, views)
+        table.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/registry")
+        return table
 
     # Historical features
 
