@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +37,17 @@ def ensure_timestamp(df: DataFrame) -> DataFrame:
 
 
 def ensure_category(df: DataFrame) -> DataFrame:
-    """Take the input file path as category when the source has none."""
-    return df if "category" in df.columns else df.withColumn("category", F.input_file_name())
+    """Take the input file path as category when the source has none.
+
+    The file's metadata column is used where ``df`` still offers it; add the category
+    before joining, while the rows come from one source.
+    """
+    if "category" in df.columns:
+        return df
+    try:
+        return df.select("*", F.col("_metadata.file_path").alias("category"))
+    except AnalysisException:
+        return df.withColumn("category", F.input_file_name())
 
 
 def ensure_text_columns(df: DataFrame) -> DataFrame:

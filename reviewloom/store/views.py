@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewloom.functions import text as tx
-from reviewloom.functions.reviews import normalize_reviews, unify_item_column
+from reviewloom.functions.reviews import ensure_category, normalize_reviews, unify_item_column
 from reviewloom.operators import features as ft
 from reviewloom.operators.encode import Encoder, embed_column
 from reviewloom.store.registry import Entity, FeatureView, Source, batch_feature_view
@@ -59,8 +59,8 @@ def stored_views(base: str) -> list[FeatureView]:
 
 
 def raw_reviews_source(path: str) -> Source:
-    """All category folders of the raw reviews, event time from the millisecond column."""
-    return Source("raw_reviews", query=f"SELECT * FROM parquet.`{path}`", millis_field="timestamp")
+    """All category folders of the raw reviews (a glob), event time from the millisecond column."""
+    return Source("raw_reviews", loader=lambda spark: ensure_category(spark.read.parquet(path)), millis_field="timestamp")
 
 
 def raw_views(source: Source) -> list[FeatureView]:
