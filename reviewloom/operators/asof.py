@@ -17,10 +17,8 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-# A key above this many rows is cut into chunks; at most HOT_KEYS keys are treated so,
-# any further key holds less than 1/HOT_KEYS of the rows.
-HOT_ROWS = 5_000_000
-HOT_KEYS = 10_000
+from reviewloom.operators.skew import HOT_KEYS, HOT_ROWS, KeyLoad, join_unique, key_load, listed
+
 CHUNKS = 256
 
 
@@ -28,7 +26,7 @@ CHUNKS = 256
 class KeyProfile:
     """What decides the plan: the keys too heavy for one task, and whether features have one row per key."""
 
-    hot: tuple
+    load: KeyLoad
     single_version: bool
 
 
@@ -36,13 +34,15 @@ def profile_keys(entities: DataFrame, features: DataFrame, key: str, hot_rows: i
     """Count rows per key on both sides; only the key columns are read and at most ``HOT_KEYS`` keys return."""
     left = entities.groupBy(key).agg(F.count("*").alias("_e"))
     right = features.groupBy(key).agg(F.count("*").alias("_f"))
-    both = (left.unionByName(right, allowMissingColumns=True).filter(F.col(key).isNotNull())
+    both = (left.unionByName(right, allowMissingColumns=True)
                 .groupBy(key).agg(F.coalesce(F.sum("_e"), F.lit(0)).alias("_e"), F.coalesce(F.sum("_f"), F.lit(0)).alias("_f")))
     seen = Observation()
-    heavy = (both.observe(seen, F.max("_f").alias("versions"))
+    versions = F.max(F.when(F.col(key).isNotNull(), F.col("_f")))
+    heavy = (both.observe(seen, versions.alias("versions"))
                  .filter(F.col("_e") + F.col("_f") > hot_rows).orderBy(F.desc(F.col("_e") + F.col("_f"))).limit(HOT_KEYS))
-    hot = tuple(row[key] for row in heavy.collect())
-    return KeyProfile(hot, (seen.get["versions"] or 0) <= 1)
+    hot = [row[key] for row in heavy.collect()]
+    load = KeyLoad(tuple((k,) for k in hot if k is not None), None in hot)
+    return KeyProfile(load, (seen.get["versions"] or 0) <= 1)
 
 
 def _ttl_floor(time: Column, ttl: timedelta) -> Column:
@@ -62,7 +62,7 @@ def _timeline(entities: DataFrame, features: DataFrame, partition: Sequence[str]
                 .filter(F.col("_side") == 1).select(*partition, "_us", "_entity", "_found"))
 
 
-def _chunked(entities: DataFrame, features: DataFrame, key: str, chunks: int) -> DataFrame:
+def _chunked(entities: DataFrame, features: DataFrame, key: str, chunks: int, hot_rows: int | None) -> DataFrame:
     """The same result for hot keys, with (key, time chunk) as the unit of work.
 
     Feature rows of equal key and time are folded first, and entity rows are resolved
@@ -90,7 +90,7 @@ def _chunked(entities: DataFrame, features: DataFrame, key: str, chunks: int) ->
                    .select(key, "_chunk", "_carry._us", "_carry._payload"))
     line = features.select(key, "_chunk", "_us", "_payload").unionByName(carried)
     found = _timeline(moments.withColumn("_entity", F.struct(F.lit(1).alias("one"))), line, [key, "_chunk"], [])
-    return entities.join(found.select(key, "_us", "_found"), [key, "_us"], "left")
+    return join_unique(entities, found.select(key, "_us", "_found"), [key, "_us"], "left", key_load(entities, [key, "_us"], hot_rows))
 
 
 def asof_join(entities: DataFrame, features: DataFrame, key: str, columns: Sequence[str], *,
@@ -107,9 +107,9 @@ def asof_join(entities: DataFrame, features: DataFrame, key: str, columns: Seque
     """
     usable = features.filter(F.col(key).isNotNull() & F.col(feature_time).isNotNull())
     if profile is None:
-        profile = profile_keys(entities, usable, key, hot_rows) if hot_rows else KeyProfile((), False)
+        profile = profile_keys(entities, usable, key, hot_rows) if hot_rows else KeyProfile(KeyLoad(), False)
     if profile.single_version:
-        return _single_version(entities, usable, key, columns, entity_time, feature_time, ttl, matched_time)
+        return _single_version(entities, usable, key, columns, entity_time, feature_time, ttl, matched_time, profile.load)
 
     moment = F.unix_micros(F.col(feature_time).cast("timestamp"))
     rank = ([F.col(created)] if created else []) + [F.col(c) for c in columns if features.schema[c].dataType.typeName() != "map"]
@@ -129,11 +129,10 @@ def asof_join(entities: DataFrame, features: DataFrame, key: str, columns: Seque
         F.lit(None).cast("bigint").alias("_us"), whole.alias("_entity"),
         F.lit(None).cast(right.schema["_payload"].dataType).alias("_found"))
 
-    if profile.hot:
-        listed = F.broadcast(left.sparkSession.createDataFrame([(k,) for k in profile.hot], [key])
-                             .select(F.col(key).cast(left.schema[key].dataType)))
-        usual = _timeline(left.join(listed, key, "left_anti"), right.join(listed, key, "left_anti"), [key], ["_payload.rank"])
-        dense = _chunked(left.join(listed, key, "left_semi"), right.join(listed, key, "left_semi"), key, chunks)
+    if profile.load.keys:
+        heavy = listed(left, [key], profile.load.keys)
+        usual = _timeline(left.join(heavy, key, "left_anti"), right.join(heavy, key, "left_anti"), [key], ["_payload.rank"])
+        dense = _chunked(left.join(heavy, key, "left_semi"), right.join(heavy, key, "left_semi"), key, chunks, hot_rows)
         found = usual.select("_us", "_entity", "_found").unionByName(dense.select("_us", "_entity", "_found"))
     else:
         found = _timeline(left, right, [key], ["_payload.rank"]).select("_us", "_entity", "_found")
@@ -149,12 +148,8 @@ def asof_join(entities: DataFrame, features: DataFrame, key: str, columns: Seque
 
 
 def _single_version(entities: DataFrame, features: DataFrame, key: str, columns: Sequence[str], entity_time: str,
-                    feature_time: str, ttl: timedelta | None, matched_time: str | None) -> DataFrame:
-    """One feature row per key: an equi-join whose match is blanked outside its validity.
-
-    A small feature table is broadcast by Spark; otherwise adaptive execution splits a
-    hot key on the entity side, as the feature side has one row for it.
-    """
+                    feature_time: str, ttl: timedelta | None, matched_time: str | None, load: KeyLoad) -> DataFrame:
+    """One feature row per key: an equi-join whose match is blanked outside its validity."""
     right = features.select(F.col(key), F.col(feature_time).cast("timestamp").alias("_time"),
                             *[F.col(c).alias(f"_f{i}") for i, c in enumerate(columns)])
     at, since = F.unix_micros(F.col(entity_time).cast("timestamp")), F.unix_micros("_time")
@@ -164,4 +159,4 @@ def _single_version(entities: DataFrame, features: DataFrame, key: str, columns:
     picked = [F.when(valid, F.col(f"_f{i}")).alias(c) for i, c in enumerate(columns)]
     if matched_time:
         picked.append(F.when(valid, F.col("_time")).alias(matched_time))
-    return entities.join(right, key, "left").select(*entities.columns, *picked)
+    return join_unique(entities, right, key, "left", load).select(*entities.columns, *picked)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.operators.dedup import latest_per_key, one_per_key
 from reviewloom.operators.features import ITEM_FEATURES, USER_FEATURES, fill_features
+from reviewloom.operators.skew import join_unique, key_load
 
 
 def _one_row(features: DataFrame, key: str, wanted: Sequence[str]) -> DataFrame:
@@ -22,20 +23,20 @@ def _one_row(features: DataFrame, key: str, wanted: Sequence[str]) -> DataFrame:
 def join_features(interactions: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     """Interactions with the current user and item features, missing values as 0.0.
 
-    Each feature side holds one row per key, so a hot user only widens the interaction
-    side, which adaptive execution splits.
+    Each feature side holds one row per key; heavy users and items are counted on the
+    interactions as given.
     """
     if "item_id" not in items.columns:
         items = items.withColumnRenamed("parent_asin", "item_id")
-    joined = (interactions.join(_one_row(users, "user_id", USER_FEATURES), "user_id", "left")
-                          .join(_one_row(items, "item_id", ITEM_FEATURES), "item_id", "left"))
-    return fill_features(joined)
+    by_user, by_item = key_load(interactions, "user_id"), key_load(interactions, "item_id")
+    joined = join_unique(interactions, _one_row(users, "user_id", USER_FEATURES), "user_id", "left", by_user)
+    return fill_features(join_unique(joined, _one_row(items, "item_id", ITEM_FEATURES), "item_id", "left", by_item))
 
 
 def join_item_vectors(rows: DataFrame, vectors: DataFrame, key: str = "item_id",
                       vector: str = "item_embedding_avg") -> DataFrame:
     """Training rows with the mean item vector where one exists."""
-    return rows.join(vectors.select(key, vector), key, "left")
+    return join_unique(rows, vectors.select(key, vector), key)
 
 
 def match_report(rows: DataFrame, column: str = "item_embedding_avg") -> DataFrame:
@@ -46,7 +47,8 @@ def match_report(rows: DataFrame, column: str = "item_embedding_avg") -> DataFra
 def index_interactions(interactions: DataFrame, users: DataFrame, items: DataFrame, unknown: str = "drop") -> DataFrame:
     """Replace string ids by dense indexes; unknown ids are dropped, or mapped to 0 with ``unknown="first"``."""
     how = "left" if unknown == "first" else "inner"
-    joined = interactions.join(users, "user_id", how).join(items, "item_id", how)
+    by_user, by_item = key_load(interactions, "user_id"), key_load(interactions, "item_id")
+    joined = join_unique(join_unique(interactions, users, "user_id", how, by_user), items, "item_id", how, by_item)
     return joined.fillna(0, subset=["user_idx", "item_idx"]) if unknown == "first" else joined
 
 

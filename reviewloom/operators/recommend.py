@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.functions.vectors import dot, sigmoid
+from reviewloom.operators.skew import join_unique, key_load
 from reviewloom.operators.topk import top_k
 
 SCORE_DIGITS = 4
@@ -29,8 +30,10 @@ def score_candidates(candidates: DataFrame, users: DataFrame, items: DataFrame,
                      item_vec: str = "item_vec") -> DataFrame:
     """Scores of listed (user, item) candidates; with ``k`` the best of each user only."""
     logit = F.round(dot(user_vec, item_vec), 9)
-    scored = (candidates.select(user_id, item_id).join(users, user_id).join(items, item_id)
-              .select(user_id, item_id, logit.alias("_logit")))
+    pairs = candidates.select(user_id, item_id)
+    by_user, by_item = key_load(pairs, user_id), key_load(pairs, item_id)
+    scored = join_unique(join_unique(pairs, users, user_id, "inner", by_user), items, item_id, "inner", by_item)
+    scored = scored.select(user_id, item_id, logit.alias("_logit"))
     if k is not None:
         order = Window.partitionBy(user_id).orderBy(F.desc("_logit"), item_id)
         scored = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.operators.ordered import dense_index
+from reviewloom.operators.skew import join_counted
 from reviewloom.operators.topk import FEW_QUERIES, cluster_top_k, top_k
 
 # Prompt wording and text limits of the answer prompt.
@@ -61,8 +62,8 @@ def search_reviews(questions: DataFrame, reviews: DataFrame, k: int = 5, prefilt
 def _search_products(questions: DataFrame, reviews: DataFrame, k: int, names: dict) -> DataFrame:
     """Each asked product is one search group; a product with many reviews is cut into blocks."""
     groups = dense_index(questions, "product_id", "cluster")
-    probes = questions.join(groups, "product_id")
-    grouped = reviews.join(groups.withColumnRenamed("product_id", "item_id"), "item_id")
+    probes = join_counted(questions, groups, "product_id", "inner")
+    grouped = join_counted(reviews, groups.withColumnRenamed("product_id", "item_id"), "item_id", "inner")
     return cluster_top_k(probes, grouped, k, **names)
 
 

@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.session import small_or_as_is
+from reviewloom.operators.skew import join_counted
 
 SPLIT_STEPS = 10_000
 
@@ -53,9 +53,9 @@ def lowest_by_digest(df: DataFrame, hex_column: str, n: int, group: str | None =
         marked = sliced.withColumns({"_cut": F.lit(edge["_cut"]), "_left": F.lit(edge["_left"])})
     else:
         # One row per group; groups smaller than n have no cut and are kept whole.
-        edges = small_or_as_is(cuts).alias("cuts")
-        marked = (sliced.alias("rows").join(edges, F.col(f"rows.{group}").eqNullSafe(F.col(f"cuts.{group}")), "left")
-                        .select("rows.*", "_cut", "_left"))
+        named = [F.col(group).isNull().alias("_no_group"), F.coalesce(F.col(group).cast("string"), F.lit("")).alias("_group")]
+        names = ["_no_group", "_group"]
+        marked = join_counted(sliced.select("*", *named), cuts.select(*named, "_cut", "_left"), names).drop(*names)
     below = marked.filter(F.col("_cut").isNull() | (F.col("_slice") < F.col("_cut"))).select(*df.columns)
     order = [F.col(hex_column), *[F.col(c) for c in tie_breakers]]
     ranked = Window.partitionBy(*scope, "_slice").orderBy(*order)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewloom.session import small_or_as_is
+from reviewloom.operators.skew import join_counted
 
 FEW_QUERIES = 4_096
 BLOCK_QUERIES = 4_096
@@ -187,21 +187,20 @@ def cluster_top_k(probes: DataFrame, clustered: DataFrame, k: int = 5, *, query_
     ``probes`` lists (query, cluster); both frames carry ``cluster``.  Large clusters and
     clusters probed by many queries are cut into bounded blocks by their counted size.
     """
-    # One row per searched cluster; broadcast only when counted to be few.
+    # One row per searched cluster.
     sizes = (clustered.groupBy("cluster").agg(F.ceil(F.count("*") / F.lit(block_vectors)).alias("_rows"))
              .join(probes.groupBy("cluster").agg(F.ceil(F.count("*") / F.lit(block_queries)).alias("_cols")), "cluster"))
     blocks = sizes.agg(F.sum(F.col("_rows") * F.col("_cols"))).first()[0] or 1
-    sizes = small_or_as_is(sizes)
 
     def block(cluster: Column, number: Column) -> Column:
         return cluster.cast("bigint") * F.lit(1 << 32) + number
 
-    left = (probes.join(sizes, "cluster")
+    left = (join_counted(probes, sizes, "cluster", "inner")
             .select("*", F.explode(_numbers(F.col("_rows"))).alias("_row"))
             .select(F.col(query_id).alias("id"), F.col(query_vec).alias("vec"),
                     block(F.col("cluster"), F.col("_row")).alias("_r"),
                     F.pmod(F.xxhash64(query_id), F.col("_cols")).alias("_c")))
-    right = (clustered.join(sizes, "cluster")
+    right = (join_counted(clustered, sizes, "cluster", "inner")
              .select("*", F.explode(_numbers(F.col("_cols"))).alias("_c"))
              .select(F.col(vector_id).alias("id"), F.col(vector_vec).alias("vec"),
                      block(F.col("cluster"), F.pmod(F.xxhash64(vector_id), F.col("_rows"))).alias("_r"), "_c"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.operators.asof import HOT_ROWS, asof_join, profile_keys
 from reviewloom.operators.dedup import latest_per_key
+from reviewloom.operators.skew import join_unique
 from reviewloom.sources.writers import key_bucket, write_keyed
 from reviewloom.store.registry import FeatureView, Registry
 
@@ -135,10 +136,10 @@ class FeatureStore:
             if mode == "interval":
                 raw = fresh
             else:
-                # Touched keys are distinct, so the semi join adds no rows and a hot key stays on one side only.
                 touched = fresh.select(*self._raw_keys(view, history)).distinct()
                 whole = within(history, source.timestamp_field, last["start_time"], end, source.millis_field)
-                raw = whole.join(touched, touched.columns, "left_semi")
+                # Touched keys are distinct, so this keeps each row of their history once.
+                raw = join_unique(whole, touched, touched.columns, "inner")
             update = self.latest(view, raw, as_of or F.current_timestamp())
             written[view.name] = self.publish_version(view, self.merged(view, update), last["start_time"], end)
         return written
