@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.operators.dedup import latest_per_key, one_per_key
 from reviewloom.operators.features import ITEM_FEATURES, USER_FEATURES, fill_features
-from reviewloom.operators.skew import join_unique, key_load
+from reviewloom.operators.skew import join_unique, key_loads
 
 
 def _one_row(features: DataFrame, key: str, wanted: Sequence[str]) -> DataFrame:
@@ -28,7 +28,7 @@ def join_features(interactions: DataFrame, users: DataFrame, items: DataFrame) -
     """
     if "item_id" not in items.columns:
         items = items.withColumnRenamed("parent_asin", "item_id")
-    by_user, by_item = key_load(interactions, "user_id"), key_load(interactions, "item_id")
+    by_user, by_item = key_loads(interactions, "user_id", "item_id")
     joined = join_unique(interactions, _one_row(users, "user_id", USER_FEATURES), "user_id", "left", by_user)
     return fill_features(join_unique(joined, _one_row(items, "item_id", ITEM_FEATURES), "item_id", "left", by_item))
 
@@ -47,7 +47,7 @@ def match_report(rows: DataFrame, column: str = "item_embedding_avg") -> DataFra
 def index_interactions(interactions: DataFrame, users: DataFrame, items: DataFrame, unknown: str = "drop") -> DataFrame:
     """Replace string ids by dense indexes; unknown ids are dropped, or mapped to 0 with ``unknown="first"``."""
     how = "left" if unknown == "first" else "inner"
-    by_user, by_item = key_load(interactions, "user_id"), key_load(interactions, "item_id")
+    by_user, by_item = key_loads(interactions, "user_id", "item_id")
     joined = join_unique(join_unique(interactions, users, "user_id", how, by_user), items, "item_id", how, by_item)
     return joined.fillna(0, subset=["user_idx", "item_idx"]) if unknown == "first" else joined
 

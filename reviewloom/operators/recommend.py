@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.functions.vectors import dot, sigmoid
-from reviewloom.operators.skew import join_unique, key_load
+from reviewloom.operators.skew import join_unique, key_loads
 from reviewloom.operators.topk import top_k
 
 SCORE_DIGITS = 4
@@ -31,7 +31,7 @@ def score_candidates(candidates: DataFrame, users: DataFrame, items: DataFrame,
     """Scores of listed (user, item) candidates; with ``k`` the best of each user only."""
     logit = F.round(dot(user_vec, item_vec), 9)
     pairs = candidates.select(user_id, item_id)
-    by_user, by_item = key_load(pairs, user_id), key_load(pairs, item_id)
+    by_user, by_item = key_loads(pairs, user_id, item_id)
     scored = join_unique(join_unique(pairs, users, user_id, "inner", by_user), items, item_id, "inner", by_item)
     scored = scored.select(user_id, item_id, logit.alias("_logit"))
     if k is not None:

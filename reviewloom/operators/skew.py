@@ -41,6 +41,20 @@ def key_load(df: DataFrame, keys: str | Sequence[str], hot_rows: int | None = HO
     return KeyLoad(complete, len(complete) < len(heavy))
 
 
+def key_loads(df: DataFrame, *keys: str, hot_rows: int | None = HOT_ROWS) -> list[KeyLoad]:
+    """Loads of several single keys from one pass over ``df``."""
+    if not hot_rows:
+        return [KeyLoad() for _ in keys]
+    sets = df.select(*keys).groupingSets([[k] for k in keys], *keys)
+    counts = sets.agg(F.count("*").alias("_n"), *[F.grouping(k).alias(f"_not_{k}") for k in keys])
+    heavy = counts.filter(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(HOT_KEYS * len(keys)).collect()
+    loads = []
+    for key in keys:
+        found = [row[key] for row in heavy if row[f"_not_{key}"] == 0]
+        loads.append(KeyLoad(tuple((v,) for v in found if v is not None), None in found))
+    return loads
+
+
 def listed(df: DataFrame, keys: Sequence[str], values: Sequence[tuple]) -> DataFrame:
     """Counted key values as a broadcast frame with the key types of ``df``."""
     return F.broadcast(df.sparkSession.createDataFrame(list(values), df.select(*keys).schema))

@@ -1,6 +1,6 @@
 import pytest
 
-from reviewloom.operators.skew import join_unique, key_load
+from reviewloom.operators.skew import join_unique, key_load, key_loads
 
 
 def frames(spark):
@@ -13,6 +13,9 @@ def test_heavy_keys_and_missing_keys(spark):
     left, _ = frames(spark)
     load = key_load(left, "k", hot_rows=10)
     assert load.keys == (("hot",),) and load.no_key
+    both = key_loads(left.withColumn("j", left.i % 2), "k", "j", hot_rows=24)
+    assert both[0].keys == (("hot",),) and not both[0].no_key
+    assert sorted(both[1].keys) == [(0,), (1,)]
     assert key_load(left, ["k", "i"], hot_rows=10).keys == ()
     assert key_load(left, "k", hot_rows=None).keys == ()
 
