@@ -7,7 +7,8 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
-from datetime import datetime
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from reviewloom.operators.encode import EMBEDDING_DIM, Encoder, embed_column, ha
 from reviewloom.operators.joins import join_item_vectors
 from reviewloom.operators.sampling import cap_and_spread, cap_rows, example_shares, split_label
 from reviewloom.plans.report import JobReport
+from reviewloom.session import spread
 from reviewloom.sources.readers import read_parquet_list, split_paths
 from reviewloom.sources.writers import (ensure_vector_table, insert_vectors, vector_rows, write_by_category, write_dataset,
                                         write_text_splits)
@@ -110,7 +112,7 @@ def embedding_job(spark: SparkSession, input_paths: str, output: str, max_review
                   encoder: EncoderFactory | None = None, report_table: str | None = None) -> dict:
     """Review embeddings to Parquet."""
     report = JobReport(spark, "embedding_generation")
-    vectors = review_vectors(read_parquet_list(spark, input_paths), max_reviews, encoder)
+    vectors = review_vectors(spread(read_parquet_list(spark, input_paths)), max_reviews, encoder)
     began = time.time()
     rows = write_dataset(vectors, output)
     report.timed("write", began)
@@ -126,7 +128,7 @@ def vector_table_job(spark: SparkSession, input_paths: str, table: str, table_pa
     The encoder runs once: with a copy, the table is filled from the copy.
     """
     report = JobReport(spark, "vector_table")
-    df = unify_item_column(read_parquet_list(spark, input_paths)).withColumn("embed_text", tx.embed_text())
+    df = unify_item_column(spread(read_parquet_list(spark, input_paths))).withColumn("embed_text", tx.embed_text())
     df = df.filter(F.length("embed_text") >= tx.MIN_EMBED_CHARS).withColumn("review_id", tx.review_id())
     df = cap_and_spread(df, max_reviews, ("review_id",), partitions) if max_reviews else df
     staged = df.select(
@@ -211,14 +213,18 @@ def run_all(spark: SparkSession, raw: str, base: str, metadata_input: str | None
     root = base.rstrip("/")
     for path in split_paths(raw):
         spark.read.parquet(path).schema  # a missing input fails here, before any output is touched
-    done = {
-        "features": feature_job(spark, raw, root, metadata_input),
-        "text": text_job(spark, raw, f"{root}/text"),
-        "embeddings": embedding_job(spark, raw, f"{root}/review_embeddings", encoder=encoder),
+    # The first three stages do not depend on each other and share the cluster.
+    stages = {
+        "features": lambda: feature_job(spark, raw, root, metadata_input),
+        "text": lambda: text_job(spark, raw, f"{root}/text"),
+        "embeddings": lambda: embedding_job(spark, raw, f"{root}/review_embeddings", encoder=encoder),
     }
+    with ThreadPoolExecutor(len(stages)) as pool:
+        running = {name: pool.submit(stage) for name, stage in stages.items()}
+        done = {name: future.result() for name, future in running.items()}
     store = FeatureStore(spark, f"{root}/store")
     store.apply(stored_views(root))
     began = start or datetime(2010, 1, 1)
-    done["materialize"] = store.materialize_incremental(end or datetime.now(), start=began)
+    done["materialize"] = store.materialize_incremental(end or datetime.now(timezone.utc), start=began)
     done["training_set"] = training_set_job(spark, root, f"{root}/training_dataset")
     return done

@@ -14,6 +14,7 @@ from reviewloom.operators.encode import embed_column, hashing_encoder
 from reviewloom.operators.topk import top_k
 from reviewloom.plans.catalogue import REVIEWS_SQL, query
 from reviewloom.plans.review_queries import index_tables
+from reviewloom.session import spread
 from reviewloom.sources import driver_tables as dt
 
 MEANS_SQL = """means AS (
@@ -161,7 +162,8 @@ def answer_prompts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("document_embeddings")
 def document_embeddings(spark: SparkSession, sf: str) -> DataFrame:
-    made = embed_column(dt.table(spark, sf, "documents").select("doc_id", "text"), "text", encoder=hashing_encoder(64))
+    docs = spread(dt.table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    made = embed_column(docs, "text", encoder=hashing_encoder(64))
     return made.select("doc_id", F.size("embedding").alias("dim"), F.round(vec.l2_norm("embedding"), 3).alias("norm"))
 
 

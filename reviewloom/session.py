@@ -75,7 +75,9 @@ def small_or_as_is(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give costly work one partition per core when the scan below has fewer.
+    """Give costly work one partition per core when the scan ``df`` has fewer.
+
+    Apply it to scans only: on a plan with shuffles, asking for partitions would run them.
 
     ``keys`` should be unique or close to it; hashing them is cheaper than a round-robin
     spread.  A scan of many files already has more partitions than cores and stays as it is.

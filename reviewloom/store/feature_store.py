@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.operators.asof import HOT_ROWS, asof_join, profile_keys
 from reviewloom.operators.dedup import latest_per_key
-from reviewloom.operators.skew import join_unique
+from reviewloom.operators.skew import join_unique, key_load
 from reviewloom.sources.writers import key_bucket, write_keyed
 from reviewloom.store.registry import FeatureView, Registry
 
@@ -202,10 +202,11 @@ class FeatureStore:
             raise KeyError(f"feature view {view} is not materialised")
         return self.spark.read.parquet(entry["path"])
 
-    def get_online_features(self, features: Sequence[str], requests: DataFrame) -> DataFrame:
+    def get_online_features(self, features: Sequence[str], requests: DataFrame, few_requests: int = 10_000) -> DataFrame:
         """Current features of the requested keys; keys without a row give nulls.
 
-        Requests carry the key's bucket, so a lookup of few keys reads their buckets only.
+        Up to ``few_requests`` distinct keys are counted and looked up without a shuffle,
+        reading only their buckets; more keys are joined with heavy keys set apart.
         """
         result = requests
         for name, columns in self.registry.select(features).items():
@@ -214,6 +215,15 @@ class FeatureStore:
             if entry is None:
                 raise KeyError(f"feature view {name} is not materialised")
             table = self.spark.read.parquet(entry["path"]).select("bucket", *view.keys, *columns)
-            asked = result.withColumn("bucket", key_bucket(view.keys, entry["buckets"]))
-            result = asked.join(table, ["bucket", *view.keys], "left").drop("bucket").select(*result.columns, *columns)
+            keys = ["bucket", *view.keys]
+            asked = requests.select(*view.keys).distinct().withColumn("bucket", key_bucket(view.keys, entry["buckets"])).select(*keys)
+            head = asked.limit(few_requests + 1).collect()
+            if len(head) <= few_requests:
+                # One row per key: at most as many found rows as counted keys.
+                near = table.filter(F.col("bucket").isin(sorted({r["bucket"] for r in head})))
+                found = F.broadcast(near.join(F.broadcast(self.spark.createDataFrame(head, asked.schema)), keys).drop("bucket"))
+                result = result.join(found, view.keys, "left")
+            else:
+                result = join_unique(result, table.drop("bucket"), view.keys, "left", key_load(requests, view.keys))
+            result = result.select(*[c for c in result.columns if c not in columns], *columns)
         return result
