@@ -58,10 +58,11 @@ def lowest_by_digest(df: DataFrame, hex_column: str, n: int, group: str | None =
         marked = join_counted(sliced.select("*", *named), cuts.select(*named, "_cut", "_left"), names).drop(*names)
     below = marked.filter(F.col("_cut").isNull() | (F.col("_slice") < F.col("_cut"))).select(*df.columns)
     order = [F.col(hex_column), *[F.col(c) for c in tie_breakers]]
+    # The constant bound lets each task drop ranks above n before the shuffle.
     ranked = Window.partitionBy(*scope, "_slice").orderBy(*order)
     at_cut = (marked.filter(F.col("_slice") == F.col("_cut"))
                     .withColumn("_rank", F.row_number().over(ranked))
-                    .filter(F.col("_rank") <= F.col("_left")).select(*df.columns))
+                    .filter((F.col("_rank") <= n) & (F.col("_rank") <= F.col("_left"))).select(*df.columns))
     return below.unionByName(at_cut)
 
 

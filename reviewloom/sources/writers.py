@@ -186,17 +186,19 @@ def rekeyed_vectors(old: DataFrame, now: Column | None = None, max_rows: int | N
     )
 
 
-def write_keyed(df: DataFrame, keys: list[str], path: str, partitions: int = 10) -> int:
-    """Latest rows to a Parquet table hashed by key into ``bucket=`` folders, for pruned lookups."""
-    bucketed = df.withColumn("bucket", key_bucket(keys, partitions))
-    seen = Observation()
-    (bucketed.repartition(partitions, "bucket").observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite").partitionBy("bucket").parquet(path))
-    return seen.get["rows"]
+def _key_text(keys: list[str]) -> list[Column]:
+    return [F.col(k).cast("string") for k in keys]
 
 
 def key_bucket(keys: list[str], partitions: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(partitions)).cast("int")
+    """Bucket of a key: Spark's own hash partition number, so one task writes one whole bucket."""
+    return F.pmod(F.hash(*_key_text(keys)), F.lit(partitions))
+
+
+def write_keyed(df: DataFrame, keys: list[str], path: str, partitions: int = 10) -> int:
+    """Latest rows to a Parquet table hashed by key into ``bucket=`` folders, for pruned lookups."""
+    bucketed = df.repartition(partitions, *_key_text(keys)).withColumn("bucket", key_bucket(keys, partitions))
+    return write_dataset(bucketed, path, partition_by=["bucket"])
 
 
 def send_partitions(df: DataFrame, keys: list[str], open_writer: Callable[[], Callable[[Iterable[Row]], None]],

@@ -19,7 +19,8 @@ def materialize_new_files(store: FeatureStore, view_name: str, folder: str, sche
                           pattern: str | None = None, files_per_batch: int = 1000, as_of: datetime | None = None) -> None:
     """Process all files not yet seen below ``folder`` for one view, then stop.
 
-    A repeated batch merges the same rows again and leaves the table unchanged.
+    A repeated batch merges the same rows again and leaves the table unchanged.  A view
+    function sees the new files alone, as in interval mode.
     """
     view = store.registry.view(view_name)
     time = view.source.timestamp_field

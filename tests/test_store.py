@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from reviewloom.store import Entity, FeatureStore, FeatureView, Source, batch_feature_view
 from reviewloom.store.feature_store import alive, within
 from reviewloom.store.views import TRAINING_FEATURES, raw_reviews_source, raw_views, review_embeddings_view, stored_views
-from reviewloom.sources.writers import write_placeholders
+from reviewloom.sources.writers import key_bucket, write_keyed, write_placeholders
 from reviewloom.operators.encode import hashing_encoder
 from reviewloom.streaming.incremental import materialize_new_files
 
@@ -161,3 +161,11 @@ def test_raw_views_and_embeddings(spark, tmp_path):
     assert (row.item_id, row.review_title, len(row.embedding), len(row.review_id)) == ("i1", "Title", 8, 64)
     # The recompute finds an item's raw rows through their original column.
     assert store.materialize_incremental(day(6), ["item_features"], as_of=day(6)) == {"item_features": 2}
+
+
+def test_one_task_writes_one_bucket(spark, tmp_path):
+    path = str(tmp_path / "keyed")
+    assert write_keyed(spark.range(500).withColumn("k", F.col("id").cast("string")), ["k"], path, 6) == 500
+    df = spark.read.parquet(path)
+    assert df.select("bucket").distinct().count() == 6 == len(df.inputFiles())
+    assert df.filter(F.col("bucket") != key_bucket(["k"], 6)).count() == 0
