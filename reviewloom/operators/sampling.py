@@ -124,6 +124,14 @@ def random_splits(df: DataFrame, shares: Mapping[str, float], seed: int = 42) ->
 INTERACTION_SHARES = {"train": 0.9, "val": 0.1}
 
 
+def _drawn_pair(draw: Column, keys: tuple[str, ...], n_users: int, n_items: int, seed: int) -> Column:
+    """A random (user, item) index pair named by the digest of the row key and the draw number."""
+    def index(side: str, size: int) -> Column:
+        return digest_number(digest(draw, *keys, F.lit(side), seed=seed)) % size
+
+    return F.struct(index("user", n_users).alias("user_idx"), index("item", n_items).alias("item_idx"), F.lit(0.0).alias("label"))
+
+
 def negative_pairs(indexed: DataFrame, n_users: int, n_items: int, keys: tuple[str, ...], ratio: int = 3,
                    seed: int = 42, exclude_seen: bool = False) -> DataFrame:
     """``ratio`` random (user, item) index pairs per interaction, label 0.
@@ -132,12 +140,8 @@ def negative_pairs(indexed: DataFrame, n_users: int, n_items: int, keys: tuple[s
     id table is joined.  Identical interactions draw the same pairs.  Seen pairs are left
     in unless ``exclude_seen`` is set.
     """
-    draws = indexed.select(*keys, F.explode(F.sequence(F.lit(1), F.lit(ratio))).alias("_draw"))
-    pairs = draws.select(
-        (digest_number(digest("_draw", *keys, F.lit("user"), seed=seed)) % n_users).alias("user_idx"),
-        (digest_number(digest("_draw", *keys, F.lit("item"), seed=seed)) % n_items).alias("item_idx"),
-        F.lit(0.0).alias("label"),
-    )
+    draws = F.transform(F.sequence(F.lit(1), F.lit(ratio)), lambda d: _drawn_pair(d, keys, n_users, n_items, seed))
+    pairs = indexed.select(F.explode(draws).alias("_pair")).select("_pair.*")
     if not exclude_seen:
         return pairs
     # Distinct first: a pair drawn or seen often is one row on the other side of the join.
@@ -148,5 +152,11 @@ def negative_pairs(indexed: DataFrame, n_users: int, n_items: int, keys: tuple[s
 def training_samples(indexed: DataFrame, n_users: int, n_items: int, keys: tuple[str, ...], ratio: int = 3,
                      seed: int = 42, exclude_seen: bool = False) -> DataFrame:
     """Observed interactions together with their negative pairs."""
-    observed = indexed.select("user_idx", "item_idx", "label")
-    return observed.unionByName(negative_pairs(indexed, n_users, n_items, keys, ratio, seed, exclude_seen))
+    if exclude_seen:
+        observed = indexed.select("user_idx", "item_idx", "label")
+        return observed.unionByName(negative_pairs(indexed, n_users, n_items, keys, ratio, seed, exclude_seen))
+    # One pass: each interaction unfolds into itself and its draws.
+    own = F.array(F.struct(F.col("user_idx").cast("bigint").alias("user_idx"), F.col("item_idx").cast("bigint").alias("item_idx"),
+                           F.col("label").cast("double").alias("label")))
+    draws = F.transform(F.sequence(F.lit(1), F.lit(ratio)), lambda d: _drawn_pair(d, keys, n_users, n_items, seed))
+    return indexed.select(F.explode(F.concat(own, draws)).alias("_pair")).select("_pair.*")

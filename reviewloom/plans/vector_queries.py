@@ -107,6 +107,16 @@ def similar_vectors_in_blocks(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("query_id", "vector_id", F.round("score", 6).alias("score"), "rank")
 
 
+@query("clustered_similar_vectors", f"""
+WITH {MEANS_SQL}, {HITS_SQL.format(k=5)} SELECT query_id::bigint AS query_id, vec_id AS vector_id, round(score, 6) AS score, rank::integer AS rank FROM hits""")
+def clustered_similar_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """With every cluster probed the clustered search is exact."""
+    rows = dt.table(spark, sf, "embeddings")
+    model = ivf.fit_clusters(rows, n_list=8)
+    found = ivf.approximate_top_k(label_questions(spark, sf), ivf.assign_clusters(model, rows), model, 5, nprobe=8, vector_id="vec_id")
+    return found.select("query_id", "vector_id", F.round("score", 6).alias("score"), "rank")
+
+
 @query("approximate_similar_vectors")
 def approximate_similar_vectors(spark: SparkSession, sf: str) -> DataFrame:
     rows = dt.table(spark, sf, "embeddings")
@@ -160,7 +170,11 @@ def answer_prompts(spark: SparkSession, sf: str) -> DataFrame:
                          F.md5(retrieval.answer_prompt("question", "context")).alias("prompt_md5"))
 
 
-@query("document_embeddings")
+TOKENS = r"""len(list_filter(regexp_split_to_array(text, '[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+'), lambda x: x <> ''))"""
+
+
+# The built-in encoder gives unit vectors, or zeros where there is no token.
+@query("document_embeddings", f"SELECT doc_id, 64 AS dim, CASE WHEN {TOKENS} > 0 THEN 1.0::double ELSE 0.0::double END AS norm FROM documents")
 def document_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     docs = spread(dt.table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     made = embed_column(docs, "text", encoder=hashing_encoder(64))
@@ -219,7 +233,9 @@ def top_items_per_user(spark: SparkSession, sf: str) -> DataFrame:
     return recommend.top_k_items(scores, 5)
 
 
-@query("factor_model")
+# Factor values depend on the solver; their number and length do not.
+@query("factor_model", f"""
+WITH {REVIEWS_SQL} SELECT 'user' AS side, 8 AS dim, count(DISTINCT user_id) AS rows FROM reviews UNION ALL SELECT 'item', 8, count(DISTINCT parent_asin) FROM reviews""")
 def factor_model(spark: SparkSession, sf: str) -> DataFrame:
     indexed, users, items = index_tables(spark, sf)
     samples = sampling.training_samples(indexed, users.count(), items.count(), ("user_id", "item_id", "event_timestamp"))
