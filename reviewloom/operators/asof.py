@@ -10,16 +10,22 @@ feature run leaves them, need no ordering and become an equi-join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import timedelta
+from math import ceil
 
+import numpy as np
+import pandas as pd
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewloom.operators.skew import HOT_KEYS, HOT_ROWS, KeyLoad, join_unique, key_load, listed
 
-CHUNKS = 256
+# Most time chunks one key is cut into; a key gets as many as its row count calls for.
+MAX_CHUNKS = 4_096
 
 
 @dataclass(frozen=True)
@@ -28,6 +34,7 @@ class KeyProfile:
 
     load: KeyLoad
     single_version: bool
+    hottest: int = 0
 
 
 def profile_keys(entities: DataFrame, features: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> KeyProfile:
@@ -40,9 +47,10 @@ def profile_keys(entities: DataFrame, features: DataFrame, key: str, hot_rows: i
     versions = F.max(F.when(F.col(key).isNotNull(), F.col("_f")))
     heavy = (both.observe(seen, versions.alias("versions"))
                  .filter(F.col("_e") + F.col("_f") > hot_rows).orderBy(F.desc(F.col("_e") + F.col("_f"))).limit(HOT_KEYS))
-    hot = [row[key] for row in heavy.collect()]
+    rows = heavy.collect()
+    hot = [row[key] for row in rows]
     load = KeyLoad(tuple((k,) for k in hot if k is not None), None in hot)
-    return KeyProfile(load, (seen.get["versions"] or 0) <= 1)
+    return KeyProfile(load, (seen.get["versions"] or 0) <= 1, max((row["_e"] + row["_f"] for row in rows), default=0))
 
 
 def _ttl_floor(time: Column, ttl: timedelta) -> Column:
@@ -62,27 +70,58 @@ def _timeline(entities: DataFrame, features: DataFrame, partition: Sequence[str]
                 .filter(F.col("_side") == 1).select(*partition, "_us", "_entity", "_found"))
 
 
-def _chunked(entities: DataFrame, features: DataFrame, key: str, chunks: int, hot_rows: int | None) -> DataFrame:
+def _chunk_bounds(entities: DataFrame, features: DataFrame, key: str, hottest: int, hot_rows: int,
+                  chunks: int | None) -> dict[object, np.ndarray]:
+    """Chunk borders per hot key from its own time quantiles, about two per ``hot_rows`` rows.
+
+    Keys are counted heavy, so the borders of all keys together are at most twice the
+    number of rows over ``hot_rows``.
+    """
+    most = chunks or min(MAX_CHUNKS, max(2, ceil(2 * hottest / hot_rows)))
+    times = features.select(key, "_us").unionByName(entities.select(key, "_us"))
+    steps = [i / most for i in range(1, most)]
+    sketched = times.groupBy(key).agg(F.count("*").alias("_n"), F.percentile_approx("_us", steps, max(10_000, 4 * most)).alias("_q"))
+    bounds = {}
+    for row in sketched.collect():
+        wanted = most if chunks else max(2, ceil(2 * row["_n"] / hot_rows))
+        bounds[row[key]] = np.unique(np.array(row["_q"], dtype=np.int64)[::max(1, most // wanted)])
+    return bounds
+
+
+def _chunk_number(context: SparkContext, bounds: dict[object, np.ndarray]) -> Callable[[Column, Column], Column]:
+    """Column function (key, time) -> chunk number, by binary search in the borders of the key."""
+    sent = context.broadcast(bounds)
+
+    @F.pandas_udf("int")
+    def number(key: pd.Series, us: pd.Series) -> pd.Series:
+        out = np.zeros(len(key), dtype=np.int32)
+        moments = us.to_numpy()
+        for value, at in key.groupby(key, sort=False).indices.items():
+            borders = sent.value.get(value)
+            if borders is not None:
+                out[at] = np.searchsorted(borders, moments[at], side="right")
+        return pd.Series(out)
+
+    # Kept in place: as a deterministic column it would be repeated in pushed-down null filters.
+    return number.asNondeterministic()
+
+
+def _chunked(entities: DataFrame, features: DataFrame, key: str, hottest: int, hot_rows: int, chunks: int | None) -> DataFrame:
     """The same result for hot keys, with (key, time chunk) as the unit of work.
 
     Feature rows of equal key and time are folded first, and entity rows are resolved
     once per distinct (key, time) and joined back, so repeated times stay small too.
     """
+    bounds = _chunk_bounds(entities, features, key, hottest, hot_rows, chunks)
+    number = _chunk_number(entities.sparkSession.sparkContext, bounds)
     features = features.groupBy(key, "_us").agg(F.max_by("_payload", F.col("_payload.rank")).alias("_payload"))
-    moments = entities.select(key, "_us").distinct()
-    steps = F.array(*[F.lit(i / chunks) for i in range(1, chunks)])
-    # One row per hot key, and hot keys are counted: at most HOT_KEYS rows.
-    bounds = (features.select(key, "_us").unionByName(moments).groupBy(key)
-                      .agg(F.array_distinct(F.percentile_approx("_us", steps, F.lit(10_000))).alias("_bounds")))
-    chunk = F.size(F.filter("_bounds", lambda b: b <= F.col("_us")))
-
-    def cut(df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(bounds), key).withColumn("_chunk", chunk).drop("_bounds")
-
-    features, moments = cut(features), cut(moments)
+    features = features.withColumn("_chunk", number(F.col(key), F.col("_us")))
+    moments = entities.select(key, "_us").distinct().withColumn("_chunk", number(F.col(key), F.col("_us")))
     last = features.groupBy(key, "_chunk").agg(F.max_by(F.struct("_us", "_payload"), "_us").alias("_last"))
-    grid = bounds.select(key, F.explode(F.sequence(F.lit(0), F.size("_bounds"))).alias("_chunk"))
-    # The grid has at most HOT_KEYS x CHUNKS rows and a key at most CHUNKS of them.
+    shape = T.StructType([T.StructField(key, entities.schema[key].dataType), T.StructField("_borders", T.IntegerType())])
+    sizes = entities.sparkSession.createDataFrame([(k, len(b)) for k, b in bounds.items()], shape)
+    grid = sizes.select(key, F.explode(F.sequence(F.lit(0), F.col("_borders"))).alias("_chunk"))
+    # One row per chunk: a key has at most MAX_CHUNKS of them.
     earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = (grid.join(last, [key, "_chunk"], "left")
                    .withColumn("_carry", F.last("_last", ignorenulls=True).over(earlier))
@@ -96,7 +135,7 @@ def _chunked(entities: DataFrame, features: DataFrame, key: str, chunks: int, ho
 def asof_join(entities: DataFrame, features: DataFrame, key: str, columns: Sequence[str], *,
               entity_time: str = "event_timestamp", feature_time: str = "event_timestamp",
               ttl: timedelta | None = None, created: str | None = None, matched_time: str | None = None,
-              hot_rows: int | None = HOT_ROWS, chunks: int = CHUNKS, profile: KeyProfile | None = None) -> DataFrame:
+              hot_rows: int | None = HOT_ROWS, chunks: int | None = None, profile: KeyProfile | None = None) -> DataFrame:
     """Entity rows with the feature ``columns`` valid at their time; all entity rows are kept.
 
     A feature row is valid when ``f.time <= e.time`` and ``f.time > e.time - ttl``.  Of
@@ -132,7 +171,8 @@ def asof_join(entities: DataFrame, features: DataFrame, key: str, columns: Seque
     if profile.load.keys:
         heavy = listed(left, [key], profile.load.keys)
         usual = _timeline(left.join(heavy, key, "left_anti"), right.join(heavy, key, "left_anti"), [key], ["_payload.rank"])
-        dense = _chunked(left.join(heavy, key, "left_semi"), right.join(heavy, key, "left_semi"), key, chunks, hot_rows)
+        dense = _chunked(left.join(heavy, key, "left_semi"), right.join(heavy, key, "left_semi"), key, profile.hottest,
+                         hot_rows or HOT_ROWS, chunks)
         found = usual.select("_us", "_entity", "_found").unionByName(dense.select("_us", "_entity", "_found"))
     else:
         found = _timeline(left, right, [key], ["_payload.rank"]).select("_us", "_entity", "_found")

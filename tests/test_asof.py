@@ -67,6 +67,12 @@ def test_repeated_moments_of_a_hot_key(spark):
     assert run(spark, entities, features, None, hot_rows=10, chunks=8) == brute(entities, features, None)
 
 
+def test_hot_and_usual_keys_together(spark):
+    entities = [(i, "hot" if i % 2 else f"k{i % 50}", at(i % 40)) for i in range(400)]
+    features = [("hot" if i % 2 else f"k{i % 50}", at(i % 37, i), i, float(i)) for i in range(300)]
+    assert run(spark, entities, features, timedelta(days=4), hot_rows=100) == brute(entities, features, timedelta(days=4))
+
+
 def test_empty_sides(spark):
     assert run(spark, [(1, "a", at(1))], []) == {1: None}
     assert run(spark, [], [("a", at(1), 1, 1.0)]) == {}
