@@ -7,8 +7,10 @@ master, where driver and executors are one process.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +68,29 @@ def written(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application.
+
+    The driver zips its own source and Spark's file server hands it out; workers need no shared copy.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="reviewloom-code-"), "reviewloom.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def small_or_as_is(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     """Broadcast ``df`` only after its row count has been checked; otherwise return it unhinted."""
     rows = df.limit(max_rows + 1).collect()
