@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm.decontaminate import contamination
+from reviewloom.llm.minhash import near_duplicates
 from reviewloom.llm.mixing import mix_sources
 from reviewloom.llm.registry import query, table
+from reviewloom.llm.substrings import remove_repeats
 from reviewloom.llm.tokens import count_tokens
 from reviewloom.llm.url_filter import judge_urls
 
@@ -46,6 +48,17 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op3_substring_dedup")
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op4_minhash_near_dedup")
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), length=2, percent=80)
+
+
 _LEAK_SQL = r"""
 WITH doc AS (SELECT row_number() OVER () AS r, doc_id,
        list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
