@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm.decontaminate import contamination
+from reviewloom.llm.lines import dedup_lines
 from reviewloom.llm.minhash import near_duplicates
 from reviewloom.llm.mixing import mix_sources
 from reviewloom.llm.registry import query, table
@@ -91,3 +92,9 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op9_line_dedup")
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
