@@ -13,6 +13,7 @@ from reviewloom.llm.registry import query, table
 from reviewloom.llm.substrings import remove_repeats
 from reviewloom.llm.tokens import count_tokens
 from reviewloom.llm.url_filter import judge_urls
+from reviewloom.llm.warc import archived
 
 # The rules that pages are judged by (host, path, verdict).
 URL_RULES = [
@@ -60,6 +61,23 @@ def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), length=2, percent=80)
 
 
+_WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS d, strlen(coalesce(html, '')) AS n FROM pages),
+f AS (SELECT d, n, min(page_id) AS first FROM p GROUP BY d, n)
+SELECT page_id, n AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((cast('0x' || substr(d, 1 + 5 * (i // 4), 5) AS bigint) >> (15 - 5 * (i % 4))) & 31), 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p JOIN f USING (d, n)
+"""
+
+
+@query("op5_warc", _WARC_SQL)
+def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 _LEAK_SQL = r"""
 WITH doc AS (SELECT row_number() OVER () AS r, doc_id,
        list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
