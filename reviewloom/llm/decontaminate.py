@@ -1,8 +1,9 @@
 """Benchmark decontamination: a hash set of normalised test n-grams against the windows of every document.
 
-Only DataFrame functions.  Window hashes of a document are exploded and probed
-against the benchmark's windows inside one generated stage; the words of a hit are
-compared there, so a hash collision is no hit.
+Only DataFrame functions.  A window is hashed by its first, middle and last word.  The
+hashes of a document's windows are exploded and probed against the benchmark's windows
+inside one generated stage; all words of a hit are compared there, so windows that
+agree in the hash alone are no hit.
 """
 
 from __future__ import annotations
@@ -18,10 +19,15 @@ WINDOW = 10
 BROADCAST_WINDOWS = 1_000_000  # windows of about 150 bytes; more are joined by shuffle
 
 
+def _hash(words: str, start: str, length: str) -> str:
+    """SQL for the hash of a window that begins at word ``start``, from 0."""
+    return (f"xxhash64({words}[{start}], {words}[{start} + ({length}) div 2], {words}[{start} + ({length}) - 1])")
+
+
 def _window_hashes(words: str, length: int) -> Column:
     """Hash of every window of ``length`` words, in order; none when there are fewer words."""
-    return F.expr(f"transform(if(size({words}) >= {length}, sequence(1, size({words}) - {length - 1}), array()), "
-                  f"i -> xxhash64(slice({words}, i, {length})))")
+    return F.expr(f"transform(if(size({words}) >= {length}, sequence(0, size({words}) - {length}), array()), "
+                  f"i -> {_hash(words, 'i', str(length))})")
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, text: str = "text", item: str = "item_id") -> DataFrame:
@@ -35,7 +41,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, text: str = "t
                           F.explode(F.expr("sequence(1, size(_words) - _length + 1)")).alias("_start"))
     return (starts.select("_item", "_length", F.expr("slice(_words, _start, _length)").alias("_window"))
                   .groupBy("_length", "_window").agg(F.collect_set("_item").alias("_items"))
-                  .withColumn("_hash", F.xxhash64("_window")))
+                  .withColumn("_hash", F.expr(_hash("_window", "0", "_length"))))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", doc_id: str = "doc_id",
