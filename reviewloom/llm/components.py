@@ -21,9 +21,10 @@ def components(links: DataFrame) -> DataFrame:
     seen = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        # Dealt out by another key, so that the join does so anew and a node with many links can be split.
+        lowest = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")).repartition(F.xxhash64("u"))
         large = (both.filter("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        smallest = large.groupBy("u").agg(F.min("v").alias("m"))
+        smallest = large.groupBy("u").agg(F.min("v").alias("m")).repartition(F.xxhash64("u"))
         joined = large.join(smallest, "u")
         small = (joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                        .union(smallest.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())

@@ -6,15 +6,15 @@ counts estimate the similarity of a candidate pair, corrected for chance equalit
 Pairs that may be similar enough are confirmed on the full shingle sets.
 
 Within a bucket not all pairs are tried.  Every member meets the bucket's smallest
-node; after components are known, members of other components meet a few pivots;
-what still lies in different components of one bucket is compared in blocks of
-bounded size.  Pairs inside one component need no test, so no link between
-components is lost.
+node; once components are known, members of other components meet one more.  What
+still lies in different components of one bucket is compared in blocks of bounded
+size, first by signature and then, where that leaves a chance, by full sets.  Pairs
+inside one component need no test, so no link between components is lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +31,8 @@ from reviewloom.session import written
 BANDS, ROWS = 40, 6   # a pair at similarity 0.8 misses all bands once in 190,000 pairs
 LOW_BITS = 4          # kept of each minimum
 SLACK = 6.5           # standard deviations that an estimate may lie below the threshold
-BLOCK = 512           # members of a bucket compared at a time
+BUCKET_BLOCK = 1_000  # members of a bucket in one task
+SET_BLOCK = 1_000_000  # shingles in one task
 CHUNK = 2048          # shingles whose hashes are formed at a time
 
 
@@ -148,47 +149,104 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, length: int
     return both.select("a", "b", "_ta", "_tb").mapInArrow(exact, "a long, b long").distinct()
 
 
-def _between_blocks(members: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs of different components that share a bucket, by comparing blocks of members.
+def _between(members: DataFrame, weight: str, most: int, link: Callable[..., Iterator[tuple[int, int]]]) -> DataFrame:
+    """Links between different components of one group, as few as connect what ``link`` connects.
 
-    ``members``: key, node, component, n_shingles, bands, signature.  A bucket is cut
-    into blocks by digest; a task compares two blocks.  A pair is given in the first
-    bucket that it shares only, so that it comes out once.
+    ``members``: group, node, component, n_shingles, signature, values.  The largest
+    component of a group need not meet itself: every other member meets all members.  A
+    group is cut into blocks of at most about ``most`` of ``weight``; a task compares
+    blocks, so neither a large group nor its pairs are ever in one place.
     """
+    parts = members.groupBy("group", "component").agg(F.count("*").alias("_n"), F.sum(weight).alias("_w"))
+    groups = parts.groupBy("group").agg(F.max_by("component", "_n").alias("_main"), F.sum("_w").alias("_all"),
+                                        F.count("*").alias("_parts")).filter("_parts > 1")
+    groups = written(groups.select("group", "_main", F.ceil(F.col("_all") / most).cast("int").alias("_blocks")), "groups")
+    placed = members.join(groups, "group").withColumns({
+        "_own": F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"), "_strays": F.col("component") != F.col("_main")})
+    every = F.expr("sequence(0, _blocks - 1)")
+    columns = ["group", "node", "component", "n_shingles", "signature", "values"]
+    strays = placed.filter("_strays")
+    # A block meets the blocks that hold strays; strays meet every block.
+    asked = strays.select("group", F.col("_own").alias("_j")).distinct()
+    sent = placed.select(*columns, F.col("_own").alias("_i"), F.lit(False).alias("asks")).join(asked, "group").unionByName(
+        strays.select(*columns, F.col("_own").alias("_j"), F.lit(True).alias("asks"), F.explode(every).alias("_i")))
+    total = groups.agg(F.sum("_blocks")).first()[0] or 1
+    shards = max(1, int(total) if weight == "n_shingles" else members.count() // most)
+
+    def compare(shard: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for _, task in shard.groupby(["group", "_i", "_j"], sort=False):
+            asks = task["asks"].to_numpy()
+            if asks.any() and not asks.all():
+                found.extend(link(task[asks], task[~asks]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    # Small groups share a task; whole blocks stay together.
+    spread = sent.withColumn("_shard", F.pmod(F.xxhash64("group", "_i", "_j"), F.lit(shards)))
+    return spread.groupBy("_shard").applyInPandas(compare, "a long, b long").distinct()
+
+
+class _Joined:
+    """Which components a task has already connected."""
+
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while self.parent.get(x, x) != x:
+            x = self.parent[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.root(x), self.root(y)
+        self.parent[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _likely_in(percent: int) -> Callable[..., Iterator[tuple[int, int]]]:
+    """Components that have a likely pair."""
     floor = least_estimate(percent / 100)
-    counts = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
-    placed = members.join(counts, "key").withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_blocks")))
-    # A member goes to every pair of blocks that has its own.
-    sent = placed.select("*", F.explode(F.expr("sequence(0L, cast(_blocks - 1 as bigint))")).alias("_other")).select(
-        "key", F.least("_block", "_other").alias("_low"), F.greatest("_block", "_other").alias("_high"), "_block",
-        "node", "component", "n_shingles", "bands", "signature")
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        low, high = group["_low"].iat[0], group["_high"].iat[0]
-        key = group["key"].iat[0]
-        one = group[group["_block"] == low]
-        two = group[group["_block"] == high]
-        found_a, found_b = [], []
-        if len(one) and len(two):
-            signatures = np.frombuffer(b"".join(two["signature"]), dtype=np.uint8).reshape(len(two), -1)
-            bands = np.stack(two["bands"].to_numpy())
-            nodes, parts, sizes = (two[c].to_numpy() for c in ("node", "component", "n_shingles"))
-            for node, part, size, own, signature in zip(one["node"], one["component"], one["n_shingles"], one["bands"], one["signature"]):
-                at = np.flatnonzero((parts != part) & (np.minimum(sizes, size) * 100 >= np.maximum(sizes, size) * percent)
-                                    & ((nodes > node) if low == high else True))
-                if not len(at):
-                    continue
-                own = np.asarray(own)
-                equal = bands[at] == own
-                first = own[equal.argmax(axis=1)] == key
-                at = at[first]
+
+    def link(asking: pd.DataFrame, asked: pd.DataFrame) -> Iterator[tuple[int, int]]:
+        signatures = np.frombuffer(b"".join(asked["signature"]), dtype=np.uint8).reshape(len(asked), -1)
+        parts, sizes = asked["component"].to_numpy(), asked["n_shingles"].to_numpy()
+        joined = _Joined()
+        for part, size, signature in zip(asking["component"], asking["n_shingles"], asking["signature"]):
+            at = np.flatnonzero((parts != part) & (np.minimum(sizes, size) * 100 >= np.maximum(sizes, size) * percent))
+            if len(at):
                 at = at[estimates(signatures[at], np.frombuffer(signature, dtype=np.uint8)) >= floor]
-                found_a.append(np.full(len(at), node)), found_b.append(nodes[at])
-        a = np.concatenate(found_a) if found_a else np.empty(0, dtype=np.int64)
-        b = np.concatenate(found_b) if found_b else np.empty(0, dtype=np.int64)
-        return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+                for other in np.unique(parts[at]).tolist():
+                    if joined.join(part, other):
+                        yield max(part, other), min(part, other)
+
+    return link
+
+
+def _exact_in(percent: int) -> Callable[..., Iterator[tuple[int, int]]]:
+    """Pairs of nodes whose full sets are similar enough, one for each two components that they connect."""
+    floor = least_estimate(percent / 100)
+
+    def link(asking: pd.DataFrame, asked: pd.DataFrame) -> Iterator[tuple[int, int]]:
+        signatures = np.frombuffer(b"".join(asked["signature"]), dtype=np.uint8).reshape(len(asked), -1)
+        nodes, parts, sizes = (asked[c].to_numpy() for c in ("node", "component", "n_shingles"))
+        values = np.concatenate(asked["values"].to_list())
+        ends = np.cumsum(sizes)
+        joined = _Joined()
+        for node, part, size, signature, own in zip(*(asking[c] for c in ("node", "component", "n_shingles", "signature", "values"))):
+            at = np.flatnonzero((parts != part) & (np.minimum(sizes, size) * 100 >= np.maximum(sizes, size) * percent))
+            if len(at):
+                at = at[estimates(signatures[at], np.frombuffer(signature, dtype=np.uint8)) >= floor]
+            for i in at.tolist():
+                if joined.root(part) == joined.root(int(parts[i])):
+                    continue
+                other = values[ends[i] - sizes[i]:ends[i]]
+                place = np.minimum(np.searchsorted(own, other), size - 1)
+                shared = int((own[place] == other).sum())
+                if 100 * shared >= percent * (size + int(sizes[i]) - shared):
+                    joined.join(part, int(parts[i]))
+                    yield max(node, int(nodes[i])), min(node, int(nodes[i]))
 
-    return sent.groupBy("key", "_low", "_high").applyInPandas(compare, "a long, b long")
+    return link
 
 
 def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -214,28 +272,40 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80, text: s
         F.col("_text").isNotNull())
 
     keyed = nodes.select("node", F.explode("bands").alias("key"))
-    ends = keyed.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("_last")).filter("centre < _last").drop("_last")
-    shared = written(keyed.join(ends, "key").select("key", "node", "centre"), "buckets")
+    ends = keyed.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("_last"), F.count("*").alias("members"))
+    # Written, so that the join deals out both sides anew and a hot bucket can be split.
+    ends = written(ends.filter("centre < _last").drop("_last"), "ends")
+    shared = written(keyed.join(ends, "key"), "buckets")
 
     links = written(_confirmed(shared.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(),
                                nodes, texts, length, percent), "links")
+    labels = written(components(links), "labels")
+    # The centre has met all others; buckets of three and more may hold further links.
+    larger = shared.filter("members > 2 and node <> centre").select(F.col("key").alias("group"), "node")
+    marked = written(_marked(larger, labels), "marked")
+    pivots = marked.groupBy("group").agg(F.min("component").alias("_low"), F.max("component").alias("_high"),
+                                         F.min_by("node", F.xxhash64("node")).alias("pivot"),
+                                         F.min_by("component", F.xxhash64("node")).alias("_part"))
+    pivots = written(pivots.filter("_low < _high").select("group", "pivot", "_part"), "pivots")
+    tried = (marked.join(pivots, "group").filter(F.col("component") != F.col("_part"))
+                   .select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct())
+    links = written(links.union(_confirmed(tried, nodes, texts, length, percent)), "links")
+    labels = written(components(links), "labels")
+
+    # Components with a likely pair in one bucket form a group, and full sets of its members decide.
+    signed = nodes.select("node", "n_shingles", "signature", F.lit(None).cast("array<bigint>").alias("values"))
+    rest = written(_marked(larger.join(pivots.select("group"), "group"), labels), "rest")
+    likely = _between(rest.withColumn("_one", F.lit(1)).join(signed, "node"), "_one", BUCKET_BLOCK, _likely_in(percent))
+    groups = written(components(written(likely, "likely")), "groups")
+    judged = (rest.select("node", "component").distinct()
+                  .join(groups.select(F.col("node").alias("component"), F.col("component").alias("group")), "component"))
+    full = _full_sets(texts.join(judged.select("node"), "node"), length)
+    judged = written(judged.join(nodes.select("node", "n_shingles", "signature"), "node").join(full, ["node", "n_shingles"]), "judged")
+    last = _between(judged, "n_shingles", SET_BLOCK, _exact_in(percent))
+
     # Ids that share a set, and sets that share an id, belong together.
     same = usable.join(classes.select("set_key", "node"), "set_key").filter("doc_id <> node").select(
         F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    labels = written(components(links), "labels")
-    for attempt in range(2):
-        marked = _marked(shared, labels)
-        pivots = marked.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"),
-                                           F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(attempt))).alias("pivot"))
-        pivots = pivots.filter("_low < _high").select("key", "pivot")
-        tried = (marked.join(pivots, "key").filter(F.col("component") != F.col("pivot.component"))
-                       .select(F.greatest("node", "pivot.node").alias("a"), F.least("node", "pivot.node").alias("b")).distinct())
-        links = written(links.union(_confirmed(tried, nodes, texts, length, percent)), "links")
-        labels = written(components(links), "labels")
-    marked = _marked(shared, labels)
-    open_keys = marked.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter("_low < _high")
-    rest = marked.join(open_keys.select("key"), "key").join(nodes, "node")
-    last = _confirmed(_between_blocks(rest, percent).distinct(), nodes, texts, length, percent)
     labels = components(links.union(last).union(same))
     out = described.select("doc_id", "n_shingles").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
@@ -244,7 +314,22 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80, text: s
 
 
 def _marked(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    return shared.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    return shared.join(labels, "node", "left").select("group", "node", F.coalesce("component", "node").alias("component"))
+
+
+def _full_sets(texts: DataFrame, length: int) -> DataFrame:
+    """``node``, ``n_shingles`` and the sorted hashes of its full set."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingles(words, length, short_as_one=True))
+                    for words in hashed_texts([t.lower() for t in batch.column(1).to_pylist()])]
+            # As signed numbers in signed order.
+            signed = [np.sort(s.view(np.int64)) for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                                              pa.array(signed, pa.list_(pa.int64()))], names=["node", "n_shingles", "values"])
+
+    return texts.select("node", "_text").mapInArrow(read, "node long, n_shingles long, values array<long>")
 
 
 def drop_near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:

@@ -57,7 +57,8 @@ def test_large_blocks_and_no_star_links(spark, monkeypatch):
     for i in rng.sample(range(200), 200):
         docs[i] = " ".join(words)
         words[rng.randrange(60)] = f"v{rng.randrange(10**6)}"
-    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "BUCKET_BLOCK", 8)
+    monkeypatch.setattr(minhash, "SET_BLOCK", 500)
     got = {r[0]: r[1:] for r in run(spark, [(i, t, "", 0) for i, t in docs.items()])}
     assert got == brute.near_duplicates(docs, 2, 80)
 
