@@ -12,6 +12,7 @@ from reviewloom.llm.mixing import mix_sources
 from reviewloom.llm.registry import query, table
 from reviewloom.llm.substrings import remove_repeats
 from reviewloom.llm.tokens import count_tokens
+from reviewloom.llm.toxicity import fit_on, held_out, score_toxicity
 from reviewloom.llm.url_filter import judge_urls
 from reviewloom.llm.warc import archived
 
@@ -116,3 +117,11 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op10_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_on(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    scored = score_toxicity(docs, model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")

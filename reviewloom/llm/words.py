@@ -13,7 +13,9 @@ import numpy as np
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-HASH_BYTES = 4 << 20  # bytes hashed at a time; bounds the working arrays of very long texts
+# Gaps of normalised words: every ASCII byte that is no digit and no letter.
+NORMAL_GAPS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+HASH_BYTES = 1 << 20  # bytes hashed at a time; bounds the working arrays of very long texts
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -41,9 +43,9 @@ def _place_factors(n: int) -> np.ndarray:
     return _places
 
 
-def bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First byte and byte after the last of every word in a byte array."""
-    inside = np.concatenate(([False], ~_SPACE[data], [False]))
+def bounds(data: np.ndarray, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and byte after the last of every word in a byte array; ``gaps`` tells which bytes part words."""
+    inside = np.concatenate(([False], ~gaps[data], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     return edges[::2], edges[1::2]
 
