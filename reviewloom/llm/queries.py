@@ -9,6 +9,7 @@ from reviewloom.llm.decontaminate import contamination
 from reviewloom.llm.lines import dedup_lines
 from reviewloom.llm.minhash import near_duplicates
 from reviewloom.llm.mixing import mix_sources
+from reviewloom.llm.neighbours import nearest
 from reviewloom.llm.registry import query, table
 from reviewloom.llm.substrings import remove_repeats
 from reviewloom.llm.tokens import count_tokens
@@ -107,6 +108,12 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+@query("op7_nearest_neighbours")
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0), k=10)
+
+
 @query("op8_source_mix")
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
