@@ -22,10 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewloom.operators.skew import HOT_KEYS, HOT_ROWS, KeyLoad, join_unique, key_load, listed
-
-# Most time chunks one key is cut into; a key gets as many as its row count calls for.
-MAX_CHUNKS = 4_096
+from reviewloom.operators.skew import HOT_ROWS, KeyLoad, join_unique, key_load, listed
 
 
 @dataclass(frozen=True)
@@ -38,7 +35,7 @@ class KeyProfile:
 
 
 def profile_keys(entities: DataFrame, features: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> KeyProfile:
-    """Count rows per key on both sides; only the key columns are read and at most ``HOT_KEYS`` keys return."""
+    """Count rows per key on both sides; only the key columns are read and fewer keys return than rows over ``hot_rows``."""
     left = entities.groupBy(key).agg(F.count("*").alias("_e"))
     right = features.groupBy(key).agg(F.count("*").alias("_f"))
     both = (left.unionByName(right, allowMissingColumns=True)
@@ -46,7 +43,7 @@ def profile_keys(entities: DataFrame, features: DataFrame, key: str, hot_rows: i
     seen = Observation()
     versions = F.max(F.when(F.col(key).isNotNull(), F.col("_f")))
     heavy = (both.observe(seen, versions.alias("versions"))
-                 .filter(F.col("_e") + F.col("_f") > hot_rows).orderBy(F.desc(F.col("_e") + F.col("_f"))).limit(HOT_KEYS))
+                 .filter(F.col("_e") + F.col("_f") > hot_rows))
     rows = heavy.collect()
     hot = [row[key] for row in rows]
     load = KeyLoad(tuple((k,) for k in hot if k is not None), None in hot)
@@ -77,14 +74,15 @@ def _chunk_bounds(entities: DataFrame, features: DataFrame, key: str, hottest: i
     Keys are counted heavy, so the borders of all keys together are at most twice the
     number of rows over ``hot_rows``.
     """
-    most = chunks or min(MAX_CHUNKS, max(2, ceil(2 * hottest / hot_rows)))
+    most = chunks or max(2, ceil(2 * hottest / hot_rows))
     times = features.select(key, "_us").unionByName(entities.select(key, "_us"))
     steps = [i / most for i in range(1, most)]
     sketched = times.groupBy(key).agg(F.count("*").alias("_n"), F.percentile_approx("_us", steps, max(10_000, 4 * most)).alias("_q"))
-    bounds = {}
-    for row in sketched.collect():
-        wanted = most if chunks else max(2, ceil(2 * row["_n"] / hot_rows))
-        bounds[row[key]] = np.unique(np.array(row["_q"], dtype=np.int64)[::max(1, most // wanted)])
+    # Each key keeps the borders that its own rows call for, before they are collected.
+    wanted = F.lit(most) if chunks else F.greatest(F.lit(2), F.ceil(F.col("_n") * 2 / hot_rows)).cast("int")
+    every = F.greatest(F.lit(1), F.floor(F.lit(most) / wanted)).cast("int")
+    thinned = sketched.withColumn("_every", every).select(key, F.filter("_q", lambda _, i: i % F.col("_every") == 0).alias("_q"))
+    bounds = {row[key]: np.unique(np.array(row["_q"], dtype=np.int64)) for row in thinned.collect()}
     return bounds
 
 
@@ -121,7 +119,7 @@ def _chunked(entities: DataFrame, features: DataFrame, key: str, hottest: int, h
     shape = T.StructType([T.StructField(key, entities.schema[key].dataType), T.StructField("_borders", T.IntegerType())])
     sizes = entities.sparkSession.createDataFrame([(k, len(b)) for k, b in bounds.items()], shape)
     grid = sizes.select(key, F.explode(F.sequence(F.lit(0), F.col("_borders"))).alias("_chunk"))
-    # One row per chunk: a key has at most MAX_CHUNKS of them.
+    # One row per chunk: a key has about two for every hot_rows rows.
     earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = (grid.join(last, [key, "_chunk"], "left")
                    .withColumn("_carry", F.last("_last", ignorenulls=True).over(earlier))

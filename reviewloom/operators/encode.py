@@ -21,25 +21,21 @@ def hashing_encoder(dim: int = EMBEDDING_DIM, seed: int = 42) -> Callable[[], En
     """Default encoder: signed feature hashing of lower-cased tokens, scaled to unit length."""
     def load() -> Encoder:
         def encode(texts: list[str]) -> np.ndarray:
-            out = np.zeros((len(texts), dim), dtype=np.float32)
-            for row, text in enumerate(texts):
-                codes = np.fromiter((zlib.crc32(t.encode(), seed) for t in text.lower().split()), dtype=np.int64)
-                np.add.at(out[row], codes % dim, np.where((codes >> 16) & 1, 1.0, -1.0))
+            tokens = [t.lower().split() for t in texts]
+            flat = [t for text in tokens for t in text]
+            # Every distinct token of a batch is hashed once.
+            distinct = {t: i for i, t in enumerate(dict.fromkeys(flat))}
+            codes = np.fromiter((zlib.crc32(t.encode(), seed) for t in distinct), dtype=np.int64, count=len(distinct))
+            codes = codes[np.fromiter(map(distinct.__getitem__, flat), dtype=np.int64, count=len(flat))]
+            rows = np.repeat(np.arange(len(texts)), [len(t) for t in tokens])
+            out = np.bincount(rows * dim + codes % dim, np.where((codes >> 16) & 1, 1.0, -1.0), len(texts) * dim)
+            out = out.reshape(len(texts), dim).astype(np.float32)
             norms = np.linalg.norm(out, axis=1, keepdims=True)
             return out / np.where(norms > 0, norms, 1.0)
         return encode
     return load
 
 
-def sentence_encoder(model_name: str, batch_size: int = ENCODE_BATCH) -> Callable[[], Encoder]:
-    """Sentence-transformer encoder where that package is installed on the executors."""
-    def load() -> Encoder:
-        from sentence_transformers import SentenceTransformer
-        model = SentenceTransformer(model_name)
-        return lambda texts: model.encode(texts, batch_size=batch_size, show_progress_bar=False)
-    return load
-
-
 def embed_column(df: DataFrame, text: str, out: str = "embedding", encoder: Callable[[], Encoder] | None = None,
                  batch_size: int = ENCODE_BATCH) -> DataFrame:
     """Add an ``array<float>`` column; a null text is encoded as the empty string."""

@@ -19,16 +19,10 @@ def _features(vectors: DataFrame, vector: str) -> DataFrame:
     return unit.withColumn("features", array_to_vector("_unit")).drop("_unit")
 
 
-def fit_clusters(vectors: DataFrame, vector: str = "embedding", n_list: int = N_LIST, seed: int = 42,
-                 train_rows: int = 10_000_000) -> KMeansModel:
-    """Cluster centres; above ``train_rows`` they are learnt on a uniform sample.
-
-    Sampling touches the centres only: every vector is still assigned and searched.
-    """
-    rows = vectors.count()
-    training = vectors if rows <= train_rows else vectors.sample(fraction=train_rows / rows, seed=seed)
-    points = _features(training, vector).select("features")
-    return KMeans(k=max(2, min(n_list, rows)), seed=seed, maxIter=10, predictionCol="cluster").fit(points)
+def fit_clusters(vectors: DataFrame, vector: str = "embedding", n_list: int = N_LIST, seed: int = 42) -> KMeansModel:
+    """Cluster centres, learnt on all vectors."""
+    points = _features(vectors, vector).select("features")
+    return KMeans(k=max(2, min(n_list, points.count())), seed=seed, maxIter=10, predictionCol="cluster").fit(points)
 
 
 def assign_clusters(model: KMeansModel, vectors: DataFrame, vector: str = "embedding") -> DataFrame:

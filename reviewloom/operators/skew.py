@@ -16,10 +16,9 @@ from pyspark.sql import functions as F
 
 from reviewloom.session import small_or_as_is
 
-# A key above this many rows is heavy; at most HOT_KEYS keys are treated so, and any
-# further key holds less than 1/HOT_KEYS of the rows.
+# A key above this many rows is heavy.  There are fewer heavy keys than rows over HOT_ROWS,
+# 200,000 in a trillion rows, so all of them can be listed.
 HOT_ROWS = 5_000_000
-HOT_KEYS = 10_000
 
 
 @dataclass(frozen=True)
@@ -36,7 +35,7 @@ def key_load(df: DataFrame, keys: str | Sequence[str], hot_rows: int | None = HO
         return KeyLoad()
     names = [keys] if isinstance(keys, str) else list(keys)
     whole = df.select(*names).groupBy(*names).agg(F.count("*").alias("_n"))
-    heavy = whole.filter(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(HOT_KEYS).drop("_n").collect()
+    heavy = whole.filter(F.col("_n") > hot_rows).drop("_n").collect()
     complete = tuple(tuple(r) for r in heavy if all(v is not None for v in r))
     return KeyLoad(complete, len(complete) < len(heavy))
 
@@ -47,7 +46,7 @@ def key_loads(df: DataFrame, *keys: str, hot_rows: int | None = HOT_ROWS) -> lis
         return [KeyLoad() for _ in keys]
     sets = df.select(*keys).groupingSets([[k] for k in keys], *keys)
     counts = sets.agg(F.count("*").alias("_n"), *[F.grouping(k).alias(f"_not_{k}") for k in keys])
-    heavy = counts.filter(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(HOT_KEYS * len(keys)).collect()
+    heavy = counts.filter(F.col("_n") > hot_rows).collect()
     loads = []
     for key in keys:
         found = [row[key] for row in heavy if row[f"_not_{key}"] == 0]

@@ -42,11 +42,19 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def _ready(matrix: np.ndarray, names: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
-    """Rows scaled to unit length for cosine; zero rows have no direction and are left out."""
-    if metric == "dot" or matrix.size == 0:
+    """Rows that can be compared, scaled to unit length for cosine.
+
+    Rows with a null, NaN or infinite element have no score and are left out, as are
+    zero rows for cosine, which have no direction.
+    """
+    if matrix.size == 0:
+        return matrix, names
+    kept = np.isfinite(matrix).all(axis=1)
+    matrix, names = matrix[kept], names[kept]
+    if metric == "dot":
         return matrix, names
     norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
-    kept = norms > 0
+    kept = (norms > 0) & np.isfinite(norms)
     return matrix[kept] / norms[kept, None], names[kept]
 
 
@@ -58,19 +66,22 @@ def _best(table: pd.DataFrame, k: int) -> pd.DataFrame:
 def _local_top(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> pd.DataFrame:
     """Best ``k`` rows of one block for every query; stripes bound the score matrix.
 
-    Candidates are cut a little below the k-th raw score, then rounded and ranked, so the
-    choice is the same as ranking all rounded scores.
+    Scores are rounded first.  Of rows that tie at the k-th score those with the smallest
+    ids stay, so no query keeps more than ``k`` rows however many vectors are equal.
     """
     found = [pd.DataFrame({"q": np.zeros(0, int), "vid": ids[:0], "score": np.zeros(0)})]
+    order = np.argsort(ids, kind="stable")
+    vectors, ids = vectors[order], ids[order]
     for start in range(0, len(queries) if len(vectors) else 0, QUERY_STRIPE):
-        scores = queries[start:start + QUERY_STRIPE] @ vectors.T
+        scores = np.round(queries[start:start + QUERY_STRIPE] @ vectors.T, RANK_DIGITS)
         if scores.shape[1] > k:
-            floor = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k]
-            rows, cols = np.nonzero(scores >= floor[:, None] - 2 * 10.0 ** -RANK_DIGITS)
+            floor = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k][:, None]
+            above, level = scores > floor, scores == floor
+            left = k - above.sum(axis=1, dtype=np.int32)
+            rows, cols = np.nonzero(above | (level & (np.cumsum(level, axis=1, dtype=np.int32) <= left[:, None])))
         else:
             rows, cols = (a.ravel() for a in np.indices(scores.shape))
-        top = pd.DataFrame({"q": rows + start, "vid": ids[cols], "score": np.round(scores[rows, cols], RANK_DIGITS)})
-        found.append(_best(top, k))
+        found.append(_best(pd.DataFrame({"q": rows + start, "vid": ids[cols], "score": scores[rows, cols]}), k))
     return pd.concat([f for f in found if len(f)] or found[:1], ignore_index=True)
 
 
@@ -116,8 +127,6 @@ def _broadcast_search(query_rows: list, queries: DataFrame, vectors: DataFrame,
 
     plain = vectors.select(vector_id, vector_vec)
     schema = _result_schema(queries, vectors, query_id, vector_id)
-    if any(f.dataType not in (T.LongType(), T.StringType()) for f in schema.fields[:2]):
-        raise TypeError("query and vector ids must be bigint or string")
     out = _arrow_schema(schema)
     return plain.mapInArrow(search, schema)
 
@@ -153,7 +162,12 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, *, query_id: str =
           query_vec: str = "query_vec", vector_id: str = "vector_id", vector_vec: str = "embedding",
           metric: str = "cosine", few_queries: int = FEW_QUERIES, block_queries: int = BLOCK_QUERIES,
           block_vectors: int = BLOCK_VECTORS) -> DataFrame:
-    """``query_id, vector_id, score, rank`` for the ``k`` best vectors of every query."""
+    """``query_id, vector_id, score, rank`` for the ``k`` best vectors of every query.
+
+    Vectors with null, NaN or infinite elements take no part, neither as queries.
+    """
+    if any(f.dataType not in (T.LongType(), T.StringType()) for f in _result_schema(queries, vectors, query_id, vector_id).fields[:2]):
+        raise TypeError("query and vector ids must be bigint or string")
     queries = queries.filter(F.col(query_vec).isNotNull())
     vectors = vectors.filter(F.col(vector_vec).isNotNull())
     head = queries.select(query_id, query_vec).limit(few_queries + 1).collect()

@@ -30,9 +30,9 @@ def parser() -> argparse.ArgumentParser:
     vectors = job("vectors", "review embeddings to a vector table", output=False)
     vectors.add_argument("--table", default="review_embeddings")
     vectors.add_argument("--table-path", required=True)
-    vectors.add_argument("--max-reviews", type=int, default=1_000_000)
+    vectors.add_argument("--max-reviews", type=int, default=None)
     vectors.add_argument("--parquet-output", default=None)
-    job("preprocess", "raw category folders to one dataset").add_argument("--categories", default=",".join(jobs.CATEGORIES))
+    job("preprocess", "raw category folders to one dataset").add_argument("--categories", default=None, help="comma list; all folders below the input otherwise")
     training = job("training-set", "point-in-time training dataset (input: the feature job's output)")
     training.add_argument("--interactions", default=None)
     training.add_argument("--embeddings", default=None)
@@ -60,7 +60,7 @@ def main(argv: list[str] | None = None) -> dict:
         return jobs.vector_table_job(spark, args.input, args.table, args.table_path, args.max_reviews,
                                      args.parquet_output, report_table=table)
     if args.job == "preprocess":
-        return jobs.preprocess_job(spark, args.input, args.output, args.categories.split(","), table)
+        return jobs.preprocess_job(spark, args.input, args.output, args.categories.split(",") if args.categories else None, table)
     if args.job == "training-set":
         embeddings = args.embeddings or f"{args.input.rstrip('/')}/review_embeddings"
         return jobs.training_set_job(spark, args.input, args.output, args.interactions,

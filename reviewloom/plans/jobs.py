@@ -22,8 +22,8 @@ from reviewloom.operators.encode import EMBEDDING_DIM, Encoder, embed_column, ha
 from reviewloom.operators.joins import join_item_vectors
 from reviewloom.operators.sampling import cap_and_spread, cap_rows, example_shares, split_label
 from reviewloom.plans.report import JobReport
-from reviewloom.session import spread
-from reviewloom.sources.readers import read_parquet_list, split_paths
+from reviewloom.session import spread, written
+from reviewloom.sources.readers import category_folders, read_parquet_list, split_paths
 from reviewloom.sources.writers import (ensure_vector_table, insert_vectors, vector_rows, write_by_category, write_dataset,
                                         write_text_splits)
 from reviewloom.store.feature_store import FeatureStore
@@ -39,10 +39,12 @@ def feature_job(spark: SparkSession, input_paths: str, output: str, metadata_inp
     reviews = normalize_reviews(read_parquet_list(spark, input_paths))
     metadata = spark.read.parquet(metadata_input) if metadata_input else None
     moment = None if as_of is None else F.lit(as_of)
+    # The text is read for this table only; both feature tables are sums over it.
+    pairs = written(ft.pair_totals(reviews), "pairs")
     outputs = (
         ("interactions", "total_interactions", ft.interactions(reviews)),
-        ("user_features", "unique_users", ft.user_features(reviews, moment)),
-        ("item_features", "unique_items", ft.item_features(reviews, metadata, moment)),
+        ("user_features", "unique_users", ft.user_features_of(pairs, moment)),
+        ("item_features", "unique_items", ft.item_features_of(pairs, metadata, moment)),
     )
     for name, metric, frame in outputs:
         began = time.time()
@@ -120,7 +122,7 @@ def embedding_job(spark: SparkSession, input_paths: str, output: str, max_review
     return report.finish(rows, report_table)
 
 
-def vector_table_job(spark: SparkSession, input_paths: str, table: str, table_path: str, max_reviews: int | None = 1_000_000,
+def vector_table_job(spark: SparkSession, input_paths: str, table: str, table_path: str, max_reviews: int | None = None,
                      parquet_output: str | None = None, encoder: EncoderFactory | None = None, dim: int = EMBEDDING_DIM,
                      partitions: int = 200, report_table: str | None = None) -> dict:
     """Review embeddings to a vector table, with an optional Parquet copy.
@@ -153,15 +155,12 @@ def vector_table_job(spark: SparkSession, input_paths: str, table: str, table_pa
     return report.finish(rows, report_table)
 
 
-# The categories of the full preprocessing run.
-CATEGORIES = ("Electronics", "Books", "Home_and_Kitchen")
-
-
-def preprocess_job(spark: SparkSession, raw: str, output: str, categories: Sequence[str] = CATEGORIES,
+def preprocess_job(spark: SparkSession, raw: str, output: str, categories: Sequence[str] | None = None,
                    report_table: str | None = None) -> dict:
-    """All category folders to one dataset with an event time, partitioned by category."""
+    """All category folders below ``raw``, or those named, to one dataset with an event time, partitioned by category."""
     report = JobReport(spark, "preprocess_reviews")
-    frames = [spark.read.parquet(f"{raw.rstrip('/')}/{c}").withColumn("category", F.lit(c)) for c in categories]
+    named = category_folders(spark, raw) if categories is None else list(categories)
+    frames = [spark.read.parquet(f"{raw.rstrip('/')}/{c}").withColumn("category", F.lit(c)) for c in named]
     union = frames[0]
     for frame in frames[1:]:
         union = union.unionByName(frame, allowMissingColumns=True)
@@ -195,16 +194,16 @@ def training_set_job(spark: SparkSession, features_base: str, output: str, inter
     if dry_run:
         rows.printSchema()
         summary = ft.dataset_summary(rows).collect()
-        written = summary[0]["rows"]
+        total = summary[0]["rows"]
     else:
-        written = write_dataset(rows, output)
+        total = write_dataset(rows, output)
         summary = ft.dataset_summary(spark.read.parquet(output)).collect()
     for line in summary:
         report.metric(f"null_rate_{line['feature']}", line["null_rate"])
     for name in ("users", "items", "positive_rate"):
         report.metric(name, summary[0][name] or 0.0)
-    report.metric("training_rows", written)
-    return report.finish(written, report_table)
+    report.metric("training_rows", total)
+    return report.finish(total, report_table)
 
 
 def run_all(spark: SparkSession, raw: str, base: str, metadata_input: str | None = None, start: datetime | None = None,

@@ -150,10 +150,10 @@ def vector_table_insert(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("vector_rekey", """
 SELECT 'doc-' || doc_id AS review_id, source AS item_id, cast(n_chars % 5 AS double) AS rating,
-       1700000500::bigint AS event_s FROM documents ORDER BY sha256('doc-' || doc_id) LIMIT 150""")
+       1700000500::bigint AS event_s FROM documents""")
 def vector_rekey(spark: SparkSession, sf: str) -> DataFrame:
     old = writers.vector_rows(document_vectors(spark, sf), 64)
-    moved = writers.rekeyed_vectors(old, F.timestamp_seconds(F.lit(1_700_000_500)), max_rows=150)
+    moved = writers.rekeyed_vectors(old, F.timestamp_seconds(F.lit(1_700_000_500)))
     return moved.select("review_id", "item_id", "rating", F.unix_seconds("event_timestamp").alias("event_s"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -78,9 +79,17 @@ def list_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(listing.inputFiles())
 
 
-def read_training_split(spark: SparkSession, folder: str, split: str, max_files: int | None = 10,
+def category_folders(spark: SparkSession, root: str) -> list[str]:
+    """Names of the folders directly below ``root`` that hold Parquet files, from Spark's own file listing."""
+    base = root.rstrip("/")
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(base)
+    tail = base.rsplit("/", 1)[-1]
+    return sorted({unquote(f.rsplit(f"/{tail}/", 1)[1].split("/", 1)[0]) for f in found.inputFiles() if f"/{tail}/" in f})
+
+
+def read_training_split(spark: SparkSession, folder: str, split: str, max_files: int | None = None,
                         schema: T.StructType = EXAMPLE_SCHEMA) -> DataFrame:
-    """Examples of one split: the first ``max_files`` part files, or a single ``<split>.jsonl``."""
+    """Examples of one split: all part files, or the first ``max_files``, or a single ``<split>.jsonl``."""
     base = folder.rstrip("/")
     try:
         files = list_files(spark, f"{base}/{split}")
