@@ -31,10 +31,14 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
 
 
 def distinct_reviews(df: DataFrame) -> DataFrame:
-    """Exact duplicates by user and raw text reduced to one review."""
+    """Exact duplicates by user and raw text reduced to one review.
+
+    Texts are grouped by their digest, so that neither keys nor ranks hold whole texts.
+    """
     rest = sorted(c for c in df.columns if c not in ("user_id", "text"))
     first = [c for c in ("timestamp", "parent_asin") if c in rest]
-    return one_per_key(df, ["user_id", "text"], first + [c for c in rest if c not in first])
+    keyed = df.withColumn("_text_digest", F.sha2("text", 256))
+    return one_per_key(keyed, ["user_id", "_text_digest"], first + [c for c in rest if c not in first]).select(*df.columns)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], time: str, created: str | None = None,

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.operators.skew import join_counted
+from reviewloom.session import written
 
 SPLIT_STEPS = 10_000
 
@@ -39,7 +40,8 @@ def lowest_by_digest(df: DataFrame, hex_column: str, n: int, group: str | None =
     spread over all slices and never sorted as a whole.
     """
     scope = [] if group is None else [group]
-    sliced = df.withColumn("_slice", F.substring(hex_column, 1, 4))
+    # Written once: counts, rows below the cut and rows at the cut all read it.
+    sliced = written(df.withColumn("_slice", F.substring(hex_column, 1, 4)), "digests")
     counts = sliced.groupBy(*scope, "_slice").agg(F.count("*").alias("_rows"))
     running = Window.partitionBy(*scope).orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
     cuts = (counts.withColumn("_upto", F.sum("_rows").over(running))
@@ -49,7 +51,7 @@ def lowest_by_digest(df: DataFrame, hex_column: str, n: int, group: str | None =
     if group is None:
         edge = cuts.first()
         if edge is None:
-            return df if n > 0 else df.limit(0)
+            return sliced.drop("_slice") if n > 0 else df.limit(0)
         marked = sliced.withColumns({"_cut": F.lit(edge["_cut"]), "_left": F.lit(edge["_left"])})
     else:
         # One row per group; groups smaller than n have no cut and are kept whole.

@@ -191,3 +191,15 @@ def test_command_line(spark, raw, tmp_path):
     assert (args.job, args.max_examples, args.train_ratio) == ("text", 3, 0.9)
     done = main(["features", "--input", raw, "--output", str(tmp_path / "cli")])
     assert done["status"] == "FINISHED" and done["metrics"]["unique_items"] == 7
+
+
+def test_no_default_cap_on_files_folders_or_reviews(spark, raw, tmp_path):
+    folder = str(tmp_path / "split")
+    spark.range(44).selectExpr("'i' AS instruction", "cast(id AS string) AS input", "'o' AS output").repartition(11).write.json(f"{folder}/train")
+    assert readers.read_training_split(spark, folder, "train").count() == 44
+    base = str(tmp_path / "categories")
+    for name in ("A", "B C", "D", "E"):
+        spark.read.parquet(raw).write.parquet(f"{base}/{name}")
+    assert readers.category_folders(spark, base) == ["A", "B C", "D", "E"]
+    jobs.preprocess_job(spark, base, str(tmp_path / "processed"))
+    assert spark.read.parquet(str(tmp_path / "processed")).groupBy("category").count().count() == 4

@@ -129,3 +129,18 @@ def test_metrics_with_ties_and_one_class(spark):
 
 def test_perplexity_is_capped(spark):
     assert evaluation.perplexity(spark.createDataFrame([(100.0,)], "loss double")).first()[0] == pytest.approx(np.exp(20))
+
+
+@pytest.mark.parametrize("few_queries", [1, 4096])
+@pytest.mark.parametrize("metric", ["dot", "cosine"])
+def test_top_k_stays_whole_with_odd_values_and_ties(spark, metric, few_queries):
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, [1.0, 2.0]) for i in range(300)] + [(400 + i, [1.0, v]) for i, v in enumerate((nan, inf, -inf, None))] + [(500, [2.0, 4.0])]
+    vectors = spark.createDataFrame(rows, "vid bigint, embedding array<double>")
+    queries = spark.createDataFrame([(1, [1.0, 1.0]), (2, [0.0, 1.0]), (3, [nan, 1.0])], "query_id bigint, query_vec array<double>")
+    got = top_k(queries, vectors, 5, vector_id="vid", metric=metric, few_queries=few_queries, block_queries=1, block_vectors=64).collect()
+    by_query = {}
+    for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+        by_query.setdefault(r["query_id"], []).append(r["vector_id"])
+    best = [500, 0, 1, 2, 3] if metric == "dot" else [0, 1, 2, 3, 4]
+    assert by_query == {1: best, 2: best}
