@@ -6,10 +6,10 @@ counts estimate the similarity of a candidate pair, corrected for chance equalit
 Pairs that may be similar enough are confirmed on the full shingle sets.
 
 Within a bucket not all pairs are tried.  Every member meets the bucket's smallest
-node; once components are known, members of other components meet one more.  What
-still lies in different components of one bucket is compared in blocks of bounded
-size, first by signature and then, where that leaves a chance, by full sets.  Pairs
-inside one component need no test, so no link between components is lost.
+node.  Once components are known, what still lies in different components of one
+bucket is compared in blocks of bounded size, first by signature and then, where that
+leaves a chance, by full sets.  Pairs inside one component need no test, so no link
+between components is lost.
 """
 
 from __future__ import annotations
@@ -282,19 +282,12 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80, text: s
     labels = written(components(links), "labels")
     # The centre has met all others; buckets of three and more may hold further links.
     larger = shared.filter("members > 2 and node <> centre").select(F.col("key").alias("group"), "node")
-    marked = written(_marked(larger, labels), "marked")
-    pivots = marked.groupBy("group").agg(F.min("component").alias("_low"), F.max("component").alias("_high"),
-                                         F.min_by("node", F.xxhash64("node")).alias("pivot"),
-                                         F.min_by("component", F.xxhash64("node")).alias("_part"))
-    pivots = written(pivots.filter("_low < _high").select("group", "pivot", "_part"), "pivots")
-    tried = (marked.join(pivots, "group").filter(F.col("component") != F.col("_part"))
-                   .select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct())
-    links = written(links.union(_confirmed(tried, nodes, texts, length, percent)), "links")
-    labels = written(components(links), "labels")
-
+    marked = _marked(larger, labels)
+    several = marked.groupBy("group").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    several = written(several.filter("_low < _high").select("group"), "several")
     # Components with a likely pair in one bucket form a group, and full sets of its members decide.
     signed = nodes.select("node", "n_shingles", "signature", F.lit(None).cast("array<bigint>").alias("values"))
-    rest = written(_marked(larger.join(pivots.select("group"), "group"), labels), "rest")
+    rest = written(marked.join(several, "group"), "rest")
     likely = _between(rest.withColumn("_one", F.lit(1)).join(signed, "node"), "_one", BUCKET_BLOCK, _likely_in(percent))
     groups = written(components(written(likely, "likely")), "groups")
     judged = (rest.select("node", "component").distinct()

@@ -13,7 +13,7 @@ PLAIN_WORD = r"[^\x20\x09-\x0D]+"
 NORMAL_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Rows per Arrow batch for whole texts; a batch of Spark's default 10,000 long documents would not fit a worker.
-TEXT_ROWS_PER_BATCH = 256
+TEXT_ROWS_PER_BATCH = 64
 
 
 def ascii_lower(text: Column) -> Column:
