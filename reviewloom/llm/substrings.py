@@ -206,19 +206,20 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, text: str = "text",
     plain = docs.select(_id(doc_id).alias("doc"), F.col(text).cast("binary").alias("text")).filter(F.col("text").isNotNull())
     stretches = _stretches(plain, window)
     again = stretches.groupBy("key").agg(F.count("*").alias("_n")).filter("_n > 1").select("key")
-    live = written(stretches.join(again, "key", "left_semi"), "stretches")
+    # Written, so that the join deals out both sides anew and a hot anchor can be split.
+    live = written(stretches.join(written(again, "anchors"), "key", "left_semi"), "stretches")
     kinds = written(live.groupBy("key", "digest").agg(F.min(F.struct("doc", "start")).alias("at"), F.max("windows").alias("windows"))
                         .select("key", "digest", F.col("at.doc").alias("doc"), F.col("at.start").alias("start"), "windows"), "kinds")
     # A stretch that occurred before as a whole needs no automaton.
     earliest = kinds.select("key", "digest", F.col("doc").alias("_doc"), F.col("start").alias("_start"))
     copied = (live.join(earliest, ["key", "digest"]).filter((F.col("doc") != F.col("_doc")) | (F.col("start") != F.col("_start")))
                   .select("doc", F.col("start").alias("first"), (F.col("start") + F.col("windows") - 1).alias("last")))
-    several = kinds.groupBy("key").agg(F.count("*").alias("_n")).filter("_n > 1")
+    several = written(kinds.groupBy("key").agg(F.count("*").alias("_n")).filter("_n > 1"), "anchors")
     wanted = kinds.join(several, "key").select("key", "doc", "start", "windows", (F.col("_n") > MANY_STRETCHES).alias("many"))
     read = written(_read_out(plain, wanted, window), "words")
     matched = _matched(read.filter("words is not null"), window)
     single = read.filter("words is null")
-    firsts = single.groupBy("key").agg(F.min(F.struct("doc", "start")).alias("at"))
+    firsts = written(single.groupBy("key").agg(F.min(F.struct("doc", "start")).alias("at")), "firsts")
     later = (single.join(firsts, "key").filter((F.col("doc") != F.col("at.doc")) | (F.col("start") != F.col("at.start")))
                    .select("doc", F.col("start").alias("first"), F.col("start").alias("last")))
     return copied.unionByName(matched).unionByName(later)
