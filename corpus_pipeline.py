@@ -23,19 +23,29 @@ from reviewloom.session import written
 ORACLE_SQL = None
 
 
+def _aside(docs: DataFrame, stage: Callable[[DataFrame], DataFrame], made: tuple[str, ...]) -> DataFrame:
+    """Run ``stage`` with columns of ``docs`` that have names which it makes under other names meanwhile."""
+    renamed = {c: f"_own_{c}" for c in docs.columns if c.lower() in made}
+    out = stage(docs.withColumnsRenamed(renamed))
+    return out.drop(*made).withColumnsRenamed({new: old for old, new in renamed.items()}).select(*docs.columns)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects (score of 0.7 and more) go."""
     model = fit_on(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
-    return score_toxicity(docs, model).filter("predicted = 0").select(*docs.columns)
+    return _aside(docs, lambda d: score_toxicity(d, model).filter("predicted = 0"), ("score", "predicted"))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of similar lines the first stays; documents keep the rest of their text."""
-    cut = dedup_lines(docs)
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return cut.select(*docs.columns)
+    def cut(given: DataFrame) -> DataFrame:
+        out = dedup_lines(given)
+        if "n_chars" in given.columns:
+            kind = given.schema["n_chars"].dataType
+            out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        return out
+
+    return _aside(docs, cut, ("n_lines", "n_removed"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +55,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a ten-word passage of the benchmark go."""
-    return decontaminate(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    benchmark = table(spark, sf_dir, "benchmark")
+    return _aside(docs, lambda d: decontaminate(d, benchmark), ("n_words", "n_hit", "n_items", "items", "spans", "contaminated"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

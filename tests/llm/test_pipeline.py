@@ -4,6 +4,7 @@ import random
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from reviewloom.llm import lines, mixing, toxicity
@@ -40,7 +41,8 @@ def folder(spark, tmp_path_factory):
 
 def test_stages(spark, folder, monkeypatch):
     monkeypatch.setattr(toxicity, "UPDATES", 300)
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    extra = {c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in ("Score", "predicted", "n_removed", "n_words", "items", "key", "node", "size")}
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumns(extra)
     columns, before = docs.columns, {r["doc_id"]: r.asDict() for r in docs.collect()}
     seen = {}
     for name, stage in corpus_pipeline.STAGES:
@@ -48,6 +50,7 @@ def test_stages(spark, folder, monkeypatch):
         seen[name] = (before, {r["doc_id"]: r.asDict() for r in out.collect()})
         if name != "mixing":
             assert out.columns == columns
+            assert all(row[c] == f"{c}{i}" for i, row in seen[name][1].items() for c in extra)
             docs, before = spark.createDataFrame(out.collect(), out.schema), seen[name][1]
 
     given, kept = seen["toxicity"]
