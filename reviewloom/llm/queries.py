@@ -52,13 +52,40 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-@query("op3_substring_dedup")
+_REPEATS_SQL = r"""
+WITH doc AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+wins AS (SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS win
+         FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM doc WHERE len(w) >= 20)),
+again AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY win ORDER BY doc_id, s) AS nth FROM wins) WHERE nth > 1),
+gone AS (SELECT doc_id, list(DISTINCT p) AS g FROM (SELECT doc_id, unnest(range(s, s + 20)) AS p FROM again) GROUP BY doc_id)
+SELECT doc_id, cast(len(w) AS bigint) AS n_words, cast(coalesce(len(g), 0) AS bigint) AS n_removed,
+       sha256(coalesce(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(g, []), i)), ' '), '')) AS kept_sha256
+FROM doc LEFT JOIN gone USING (doc_id)
+"""
+
+
+@query("op3_substring_dedup", _REPEATS_SQL)
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-@query("op4_minhash_near_dedup")
+_NEAR_SQL = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+one AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 1 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM doc),
+item AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM one),
+near AS (SELECT a, b FROM (SELECT l.doc_id AS a, r.doc_id AS b, any_value(l.n) AS n, any_value(r.n) AS m, count(*) AS c
+         FROM item l JOIN item r ON l.x = r.x AND l.doc_id <> r.doc_id AND 100 * least(l.n, r.n) >= 80 * greatest(l.n, r.n) GROUP BY ALL)
+         WHERE 100 * c >= 80 * (n + m - c)),
+reach AS (SELECT doc_id, doc_id AS other FROM doc UNION SELECT reach.doc_id, near.b FROM reach JOIN near ON reach.other = near.a)
+SELECT doc_id, cast(len(s) AS bigint) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM one JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
+
+@query("op4_minhash_near_dedup", _NEAR_SQL)
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), length=2, percent=80)
 
