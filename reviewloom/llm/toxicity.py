@@ -3,12 +3,13 @@
 A word enters as an embedding of the word and the mean embedding of its character
 n-grams.  The network reads windows of words in both directions, attention weighs the
 states of a window, and a document scores as its highest window.  Windows overlap by
-half and cover the whole text.  Fitting uses a bounded sample of labelled documents on
-the driver; scoring is a map over Arrow batches without a shuffle.
+half and cover the whole text.  Fitting uses a bounded sample of labelled documents in
+one task; scoring is a map over Arrow batches without a shuffle.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +29,7 @@ GRAMS = (3, 5, 7)            # bytes of a character n-gram; words are framed by
 CHUNK = 4_096                # windows run at a time
 MOST_PER_CLASS = (1_500, 2_500)  # labelled documents to fit on: toxic, clean
 LONGEST_FIT = 24_000         # characters of a document to fit on; all are scored whole
-UPDATES, DOCS_PER_UPDATE = 400, 48
+UPDATES, DOCS_PER_UPDATE = 700, 48
 TOP_WINDOWS = 2              # windows of a document that an update follows
 RATE = 0.01
 PAD = 0                      # row of the word table that stands for no word
@@ -111,6 +112,12 @@ class Network:
             "look": start(2 * h, scale=0.3), "out": start(2 * h, scale=0.5), "out_bias": np.zeros(1, np.float32),
         }
 
+    @classmethod
+    def of(cls, weights: dict[str, np.ndarray]) -> Network:
+        net = cls.__new__(cls)
+        net.p = weights
+        return net
+
     def inputs(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Embedded words and their input to the gates of both directions; row 0 is no word."""
         embedded = self.p["word"][words.word_slot]
@@ -218,8 +225,9 @@ def _subset(words: Words, rows: np.ndarray) -> tuple[Words, np.ndarray]:
     return Words(words.word_slot[used], words.gram_slots[at], starts, counts), new
 
 
-def fit(texts: list[bytes | None], toxic: list[int], seed: int = 7) -> Network | float:
+def fit(texts: list[bytes | None], toxic: list[int], seed: int = 7, updates: int | None = None) -> Network | float:
     """A network, or the share of toxic texts where one class is missing."""
+    updates = updates or UPDATES
     labels = np.array(toxic, dtype=np.float32)
     if not len(labels) or labels.min() == labels.max():
         return float(labels.mean()) if len(labels) else 0.0
@@ -230,7 +238,7 @@ def fit(texts: list[bytes | None], toxic: list[int], seed: int = 7) -> Network |
     first = {k: np.zeros_like(v) for k, v in net.p.items()}
     second = {k: np.zeros_like(v) for k, v in net.p.items()}
     half = DOCS_PER_UPDATE // 2
-    for update in range(1, UPDATES + 1):
+    for update in range(1, updates + 1):
         docs = np.concatenate([rng.choice(c, half) for c in by_class])
         small, at = _subset(words, np.concatenate([windows[i] for i in docs]))
         sizes = np.array([len(windows[i]) for i in docs])
@@ -243,7 +251,7 @@ def fit(texts: list[bytes | None], toxic: list[int], seed: int = 7) -> Network |
             toward.append((_sigmoid(logit[best]) - labels[doc]) / len(best))
         chosen, chosen_rows = _subset(words, np.concatenate([windows[i] for i in docs])[np.concatenate(picked)])
         grads = net.gradients(chosen, chosen_rows, (np.concatenate(toward) / len(docs)).astype(np.float32))
-        rate = RATE * min(1.0, 2 * (1 - update / (UPDATES + 1)))
+        rate = RATE * min(1.0, 2 * (1 - update / (updates + 1)))
         for k, g in grads.items():
             first[k] += 0.1 * (g - first[k])
             second[k] += 0.01 * (g * g - second[k])
@@ -264,13 +272,22 @@ def fit_on(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = MOST
         part = usable.filter(F.col("toxic") == value).select("doc_id", "toxic").distinct().orderBy(
             F.xxhash64("doc_id", F.lit("fit")), "doc_id").limit(most)
         drawn = part if drawn is None else drawn.unionByName(part)
-    # At most the documented number of rows on the driver, each of bounded length.
+    # At most the documented number of ids on the driver, and as many texts of bounded length in one task.
     drawn = docs.sparkSession.createDataFrame(drawn.collect(), "doc_id long, toxic int")
     rows = (docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("binary").alias("_text"))
-                .filter(F.length("text") <= LONGEST_FIT)
-                .join(F.broadcast(drawn), F.col("_id") == F.col("doc_id")).select("_id", "_text", "toxic").collect())
-    rows.sort(key=lambda r: (r["_id"], r["_text"]))
-    return fit([bytes(r["_text"]) for r in rows], [r["toxic"] for r in rows])
+                .filter((F.length("text") <= LONGEST_FIT) & F.col("_id").isNotNull())
+                .join(F.broadcast(drawn), F.col("_id") == F.col("doc_id")).select("_id", "_text", "toxic"))
+    updates = UPDATES
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = sorted(row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in range(3))))
+        model = fit([text for _, text, _ in given], [toxic for *_, toxic in given], updates=updates)
+        weights = model if isinstance(model, float) else model.p
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(weights)], pa.binary())], names=["weights"])
+
+    found = rows.repartition(1).mapInArrow(train, "weights binary").first()
+    weights = 0.0 if found is None else pickle.loads(found["weights"])
+    return weights if isinstance(weights, float) else Network.of(weights)
 
 
 def score_toxicity(docs: DataFrame, model: Network | float, text: str = "text", threshold: float = 0.7) -> DataFrame:
