@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.vectors import l2_normalize
 from reviewloom.operators.topk import cluster_top_k, top_k
+from reviewloom.session import written
 
 # Fixed value: number of clusters of the index.
 N_LIST = 128
@@ -42,3 +43,24 @@ def approximate_top_k(queries: DataFrame, clustered: DataFrame, model: KMeansMod
                      .join(queries.select(query_id, query_vec), query_id))
     return cluster_top_k(probes, clustered, k, query_id=query_id, query_vec=query_vec, vector_id=vector_id,
                          vector_vec=vector_vec)
+
+
+def recall(found: DataFrame, exact: DataFrame) -> float:
+    """Share of the exact hits (query_id, vector_id) that were found; 1.0 if there are none."""
+    hits = exact.select("query_id", "vector_id").join(found.select("query_id", "vector_id", F.lit(1).alias("_hit")), ["query_id", "vector_id"], "left")
+    return hits.agg(F.coalesce(F.avg(F.coalesce("_hit", F.lit(0))), F.lit(1.0))).first()[0]
+
+
+def measured_top_k(queries: DataFrame, clustered: DataFrame, model: KMeansModel, k: int = 5, nprobe: int = 8, least: float = 0.9, *,
+                   query_id: str = "query_id", query_vec: str = "query_vec", vector_id: str = "vector_id",
+                   vector_vec: str = "embedding") -> DataFrame:
+    """``approximate_top_k`` with as many more probes, by half each time, as the recall over all queries needs to reach ``least``."""
+    names = {"query_id": query_id, "query_vec": query_vec, "vector_id": vector_id, "vector_vec": vector_vec}
+    exact = written(top_k(queries, clustered, k, **names), "exact")
+    clusters = len(model.clusterCenters())
+    nprobe = min(nprobe, clusters)
+    while True:
+        found = written(approximate_top_k(queries, clustered, model, k, nprobe, **names), "found")
+        if nprobe == clusters or recall(found, exact) >= least:
+            return found
+        nprobe = min(clusters, nprobe + max(1, nprobe // 2))

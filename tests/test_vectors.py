@@ -144,3 +144,18 @@ def test_top_k_stays_whole_with_odd_values_and_ties(spark, metric, few_queries):
         by_query.setdefault(r["query_id"], []).append(r["vector_id"])
     best = [500, 0, 1, 2, 3] if metric == "dot" else [0, 1, 2, 3, 4]
     assert by_query == {1: best, 2: best}
+
+
+def test_measured_search_reaches_its_recall(spark):
+    vectors = np.random.default_rng(8).normal(size=(400, 24))
+    rows = frame(spark, vectors)
+    model = ivf.fit_clusters(rows, n_list=12)
+    clustered = ivf.assign_clusters(model, rows)
+    asked = rows.filter("vec_id % 20 = 0").selectExpr("vec_id AS query_id", "embedding AS query_vec")
+    want = {(q * 20, i) for q, ids in brute(vectors[::20], vectors, 5).items() for i in ids}
+
+    def share(found):
+        return len({(r.query_id, r.vector_id) for r in found.collect()} & want) / len(want)
+
+    assert share(ivf.approximate_top_k(asked, clustered, model, 5, nprobe=2, vector_id="vec_id")) < 0.9
+    assert share(ivf.measured_top_k(asked, clustered, model, 5, nprobe=2, least=0.9, vector_id="vec_id")) >= 0.9
