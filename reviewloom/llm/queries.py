@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm.decontaminate import contamination
+from reviewloom.llm.licenses import scan_licenses
 from reviewloom.llm.lines import dedup_lines
 from reviewloom.llm.minhash import near_duplicates
 from reviewloom.llm.mixing import mix_sources
@@ -159,3 +160,10 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_on(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     scored = score_toxicity(docs, model)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op13_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+                        F.array_join("labels", ",").alias("labels"), "score")

@@ -41,3 +41,17 @@ def same(left: DataFrame, right: DataFrame, *columns: str) -> Column:
 def in_small_batches(spark: SparkSession) -> None:
     """Keep Arrow batches of whole texts small enough for a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS_PER_BATCH))
+
+
+def others(docs: DataFrame, *made: str) -> list[str]:
+    """Columns of ``docs`` but those named in ``made``, in any case."""
+    taken = {c.lower() for c in made}
+    return [c for c in docs.columns if c.lower() not in taken]
+
+
+def fresh(docs: DataFrame, base: str) -> str:
+    """A helper column's name that no column of ``docs`` has, in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
