@@ -17,6 +17,7 @@ from reviewloom.llm.tokens import count_tokens
 from reviewloom.llm.toxicity import fit_on, held_out, score_toxicity
 from reviewloom.llm.url_filter import judge_urls
 from reviewloom.llm.warc import archived
+from reviewloom.llm.whitening import whiten
 
 # The rules that pages are judged by (host, path, verdict).
 URL_RULES = [
@@ -162,6 +163,11 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+@query("op12_embedding_whitening")
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 @query("op13_license_scan")
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
