@@ -12,6 +12,7 @@ from reviewloom.llm.minhash import near_duplicates
 from reviewloom.llm.mixing import mix_sources
 from reviewloom.llm.neighbours import nearest
 from reviewloom.llm.registry import query, table
+from reviewloom.llm.search import search
 from reviewloom.llm.substrings import remove_repeats
 from reviewloom.llm.tokens import count_tokens
 from reviewloom.llm.toxicity import fit_on, held_out, score_toxicity
@@ -163,6 +164,30 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+_SEARCH_SQL = r"""
+WITH doc AS (SELECT doc_id, row_number() OVER () AS r,
+       list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
+size AS (SELECT cast(count(*) AS bigint) AS n_docs, cast(sum(len(w)) AS bigint) AS n_terms FROM doc WHERE len(w) > 0),
+asked AS (SELECT item_id, t, cast(count(*) AS bigint) AS q FROM (SELECT item_id, unnest(list_filter(regexp_split_to_array(
+       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
+       lambda w: w <> '')) AS t FROM benchmark) GROUP BY ALL),
+post AS (SELECT r, doc_id, cast(len AS bigint) AS n, t, cast(count(*) AS bigint) AS tf
+       FROM (SELECT r, doc_id, len(w) AS len, unnest(w) AS t FROM doc) WHERE t IN (SELECT t FROM asked) GROUP BY ALL),
+weighed AS (SELECT t, cast(floor(1000 * ln((2 * n_docs + 2) / cast(2 * count(*) + 1 AS double))) AS bigint) AS w FROM post, size GROUP BY t, n_docs),
+scored AS (SELECT item_id, r, doc_id, cast(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS bigint) AS score
+       FROM asked JOIN post USING (t) JOIN weighed USING (t), size GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (SELECT item_id, doc_id, score,
+       cast(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, r) AS integer) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 20
+"""
+
+
+@query("op11_ranked_search", _SEARCH_SQL)
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"), k=20)
+
+
 @query("op12_embedding_whitening")
 def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
