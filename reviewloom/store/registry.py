@@ -50,6 +50,21 @@ class Source:
         return df
 
 
+@dataclass(frozen=True)
+class Partial:
+    """A view as partial results that add up.
+
+    ``fold`` turns raw rows into partial rows that hold the view's keys; ``combine``
+    reduces partial rows of several intervals to one row for each of their own keys;
+    ``finish`` turns them into the view's keys, event time and features.  Sums, counts,
+    extremes and sets add up whatever the order that rows arrive in.
+    """
+
+    fold: Transform
+    combine: Transform
+    finish: Transform
+
+
 @dataclass(frozen=True)
 class FeatureView:
     """Named features of one or more entities with a time-to-live."""
@@ -62,6 +77,7 @@ class FeatureView:
     transform: Transform | None = None
     online: bool = True
     offline: bool = True
+    partial: Partial | None = None
 
     @property
     def keys(self) -> list[str]:
@@ -74,6 +90,8 @@ class FeatureView:
     def rows(self, spark: SparkSession, raw: DataFrame | None = None) -> DataFrame:
         """Keys, event time and features, computed from the source or from ``raw`` source rows."""
         df = self.source.load(spark) if raw is None else raw
+        if self.partial is not None:
+            df = self.partial.finish(self.partial.fold(df))
         if self.transform is not None:
             df = df.transform(self.transform)
         created = [self.source.created_field] if self.source.created_field in df.columns else []

@@ -13,7 +13,7 @@ from reviewloom.functions import text as tx
 from reviewloom.functions.reviews import ensure_category, normalize_reviews, unify_item_column
 from reviewloom.operators import features as ft
 from reviewloom.operators.encode import Encoder, embed_column
-from reviewloom.store.registry import Entity, FeatureView, Source, batch_feature_view
+from reviewloom.store.registry import Entity, FeatureView, Partial, Source, batch_feature_view
 
 USER = Entity("user_id", description="reviewer id")
 ITEM = Entity("item_id", description="product id")
@@ -96,3 +96,22 @@ def review_embeddings_view(source: Source, encoder: Callable[[], Encoder] | None
         return embed_column(embedding_staging(df), "embed_text", encoder=encoder)
 
     return embeddings
+
+
+def partial_views(source: Source) -> list[FeatureView]:
+    """User and item features kept up to date from stored totals per user and item, without reading history."""
+    def fold(key: str) -> Callable[[DataFrame], DataFrame]:
+        return lambda raw: ft.pair_totals(normalize_reviews(raw)).withColumnsRenamed({"parent_asin": "item_id"} if key == "item_id" else {})
+
+    def combine(key: str) -> Callable[[DataFrame], DataFrame]:
+        return lambda pairs: ft.added_totals(pairs, ["user_id", "item_id" if key == "item_id" else "parent_asin"])
+
+    def finish_items(pairs: DataFrame) -> DataFrame:
+        return ft.item_features_of(pairs.withColumnRenamed("item_id", "parent_asin"))
+
+    return [
+        FeatureView("user_features", (USER,), USER_SCHEMA, source, FEATURE_TTL,
+                    partial=Partial(fold("user_id"), combine("user_id"), ft.user_features_of)),
+        FeatureView("item_features", (ITEM,), ITEM_SCHEMA, source, FEATURE_TTL,
+                    partial=Partial(fold("item_id"), combine("item_id"), finish_items)),
+    ]

@@ -1,7 +1,7 @@
 """Online tables kept up to date from newly arrived files.
 
 Each run takes the files that arrived since the last one (the stream's checkpoint
-remembers them), publishes a merged version per micro-batch and stops.
+remembers them), adds the rows of the keys in each micro-batch to their buckets and stops.
 """
 
 from __future__ import annotations
@@ -32,14 +32,9 @@ def materialize_new_files(store: FeatureStore, view_name: str, folder: str, sche
         if batch.isEmpty():
             return
         update = store.latest(view, batch, as_of or F.current_timestamp())
-        last = store.current(view_name)
-        merged = update if last is None else store.merged(view, update)
         micros = F.unix_micros(F.col(time).cast("timestamp"))
         span = batch.agg(F.min(micros).alias("low"), F.max(micros).alias("high")).first()
-        start, end = from_micros(span["low"]), from_micros(span["high"])
-        if last is not None:
-            start, end = min(last["start_time"], start), max(last["end_time"], end)
-        store.publish_version(view, merged, start, end)
+        store.publish(view, update, from_micros(span["low"]), from_micros(span["high"]))
 
     query = (stream.parquet(folder).writeStream.foreachBatch(publish)
                    .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -159,8 +159,9 @@ def test_raw_views_and_embeddings(spark, tmp_path):
     assert store.materialize(day(-1), day(5), as_of=day(5)) == {"user_features": 1, "item_features": 2, "review_embeddings": 1}
     row = store.online_table("review_embeddings").first()
     assert (row.item_id, row.review_title, len(row.embedding), len(row.review_id)) == ("i1", "Title", 8, 64)
-    # The recompute finds an item's raw rows through their original column.
-    assert store.materialize_incremental(day(6), ["item_features"], as_of=day(6)) == {"item_features": 2}
+    # The recompute finds an item's raw rows through their original column; nothing new, nothing written.
+    assert store.materialize_incremental(day(6), ["item_features"], as_of=day(6)) == {"item_features": 0}
+    assert store.online_table("item_features").count() == 2
 
 
 def test_one_task_writes_one_bucket(spark, tmp_path):
