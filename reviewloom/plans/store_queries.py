@@ -55,7 +55,7 @@ def incremental_partial_users(spark: SparkSession, sf: str) -> DataFrame:
     store = FeatureStore(spark, scratch_path(spark, "store"), buckets=8, max_parts=2)
     source = Source("raw_reviews", loader=lambda session: dt.reviews(session, sf), millis_field="timestamp")
     store.apply([v for v in partial_views(source) if v.name == "user_features"])
-    now = datetime(2001, 1, 1)
+    now = datetime(2002, 6, 1)
     store.materialize(datetime(1990, 1, 1), datetime(1994, 6, 1), as_of=now)
     for end in (datetime(1996, 6, 1), datetime(1996, 9, 1), now):
         store.materialize_incremental(end, mode="partial", as_of=now)

@@ -65,7 +65,18 @@ def written(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    read = spark.read.schema(df.schema).parquet(path)
+    read._written_path = path
+    return read
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a frame from ``written`` that nothing will read any more."""
+    path = getattr(df, "_written_path", None)
+    if path is not None:
+        spark = df.sparkSession
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 _shipped: set[str] = set()
