@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.session import written
+from reviewloom.session import discard, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -27,7 +27,8 @@ def components(links: DataFrame) -> DataFrame:
         joined = large.join(smallest, "u")
         small = (joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                        .union(smallest.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        edges = written(small, "links")
+        settled, edges = edges, written(small, "links")
+        discard(settled)
     roots = edges.select(F.col("v").alias("node")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         roots.select("node", F.col("node").alias("component")))
