@@ -10,6 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from reviewloom.session import written
 
 # Bucket edges of the service histograms.
 BUCKETS = {
@@ -21,6 +24,8 @@ BUCKETS = {
 }
 HIT_RATIO_TARGET = 0.95
 
+CHUNK_ROWS = 1_000_000  # times of one series and window that one task takes in order
+
 
 def window_start(time: Column | str, seconds: int) -> Column:
     """Start of the tumbling window, as epoch seconds."""
@@ -29,27 +34,40 @@ def window_start(time: Column | str, seconds: int) -> Column:
 
 
 def counter_increase(samples: DataFrame, seconds: int, series: str = "series", time: str = "ts",
-                     value: str = "value") -> DataFrame:
+                     value: str = "value", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Per series and window the increase of a counter; a fall counts as a reset to zero.
 
-    Deltas are taken inside (series, window).  The last sample of the previous active
-    window is carried in as the first row, so no delta is lost at a window border.
+    Samples of one series and time are folded first, in order of value.  Deltas are taken
+    inside a chunk of time: a window is one chunk, or as many as its times need to have at
+    most about ``chunk_rows`` each.  The last sample of the chunk before is carried in as
+    the first row, so no delta is lost at a border and no task gets a whole busy window.
     """
     at = samples.filter(F.col(value).isNotNull()).select(
-        F.col(series).alias("series"), F.col(time).alias("ts"), F.col(value).alias("value"),
-        window_start(time, seconds).alias("window_start"))
-    last = at.groupBy("series", "window_start").agg(F.max(F.struct("ts", "value")).alias("_last"))
-    # One row per series and active window.
-    by_window = Window.partitionBy("series").orderBy("window_start")
-    carried = (last.withColumn("_prev", F.lag("_last").over(by_window)).filter(F.col("_prev").isNotNull())
-                   .select("series", F.col("_prev.ts").alias("ts"), F.col("_prev.value").alias("value"), "window_start",
-                           F.lit(True).alias("_carried")))
-    line = at.withColumn("_carried", F.lit(False)).unionByName(carried)
-    order = Window.partitionBy("series", "window_start").orderBy("ts", "value")
-    before = F.lag("value").over(order)
-    delta = F.when(before.isNull(), F.lit(0.0)).when(F.col("value") >= before, F.col("value") - before).otherwise(F.col("value"))
-    return (line.withColumn("_delta", delta).filter(~F.col("_carried"))
-                .groupBy("series", "window_start").agg(F.sum("_delta").alias("increase"), F.count("*").alias("samples")))
+        F.col(series).alias("series"), F.col(time).alias("ts"), F.col(value).cast("double").alias("value"))
+    folded = at.groupBy("series", "ts").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count("*").alias("n"))
+    folded = written(folded.withColumn("window_start", window_start("ts", seconds)), "samples")
+    counts = folded.groupBy("series", "window_start").agg(F.count("*").alias("_times"))
+    # At most one row for every chunk_rows times.
+    busy = [(*r[:2], -(-r[2] // chunk_rows)) for r in counts.filter(F.col("_times") > chunk_rows).collect()]
+    chunk = F.lit(0).cast("bigint")
+    if busy:
+        kinds = folded.select("series", "window_start").schema
+        cut = samples.sparkSession.createDataFrame(busy, T.StructType([*kinds.fields, T.StructField("_parts", T.LongType())]))
+        cut = cut.select(F.col("series").alias("_series"), F.col("window_start").alias("_window"), "_parts")
+        folded = folded.join(F.broadcast(cut), F.col("series").eqNullSafe(F.col("_series")) & (F.col("window_start") == F.col("_window")), "left")
+        inside = F.unix_micros(F.col("ts").cast("timestamp")) - F.col("window_start") * 1_000_000
+        chunk = F.coalesce(F.floor(inside / F.lit(seconds * 1_000_000.0) * F.col("_parts")), F.lit(0)).cast("bigint")
+    line = folded.select("series", "window_start", chunk.alias("chunk"), "ts", "low", "high", "n")
+    last = line.groupBy("series", "window_start", "chunk").agg(F.max("ts").alias("ts"), F.max_by("high", "ts").alias("high"))
+    # One row per series and chunk that has samples.
+    before_chunk = Window.partitionBy("series").orderBy("window_start", "chunk")
+    carried = (last.withColumns({"_ts": F.lag("ts").over(before_chunk), "_high": F.lag("high").over(before_chunk)}).filter(F.col("_ts").isNotNull())
+                   .select("series", "window_start", "chunk", F.col("_ts").alias("ts"), F.col("_high").alias("low"), F.col("_high").alias("high"),
+                           F.lit(0).cast("bigint").alias("n")))
+    before = F.lag("high").over(Window.partitionBy("series", "window_start", "chunk").orderBy("ts"))
+    step = F.when(before.isNull(), F.lit(0.0)).when(F.col("low") >= before, F.col("low") - before).otherwise(F.col("low"))
+    grown = line.unionByName(carried).withColumn("_delta", step + F.col("high") - F.col("low")).filter("n > 0")
+    return grown.groupBy("series", "window_start").agg(F.sum("_delta").alias("increase"), F.sum("n").alias("samples"))
 
 
 def counter_rate(samples: DataFrame, seconds: int, series: str = "series", time: str = "ts",
@@ -71,6 +89,24 @@ def hit_ratio(samples: DataFrame, seconds: int, hit: str, miss: str, series: str
                   .withColumn("on_target", F.col("hit_ratio") > target))
 
 
+def counter_hit_ratio(samples: DataFrame, seconds: int, hit: str, miss: str, target: float = HIT_RATIO_TARGET, **columns) -> DataFrame:
+    """Hits over hits plus misses per window, both as increases of counters; windows in which neither grew are dropped."""
+    grown = counter_increase(samples.filter(F.col(columns.get("series", "series")).isin(hit, miss)), seconds, **columns)
+    summed = grown.groupBy("window_start").agg(*[
+        F.sum(F.when(F.col("series") == name, F.col("increase")).otherwise(0.0)).alias(out) for name, out in ((hit, "hits"), (miss, "misses"))])
+    ratio = F.col("hits") / F.nullif(F.col("hits") + F.col("misses"), F.lit(0.0))
+    return (summed.withColumn("hit_ratio", ratio).filter(F.col("hit_ratio").isNotNull())
+                  .withColumn("on_target", F.col("hit_ratio") > target))
+
+
+def counter_average(samples: DataFrame, seconds: int, total: str, requests: str, **columns) -> DataFrame:
+    """Average per request per window: the increase of one counter over that of another; null where no request came."""
+    grown = counter_increase(samples.filter(F.col(columns.get("series", "series")).isin(total, requests)), seconds, **columns)
+    summed = grown.groupBy("window_start").agg(*[
+        F.sum(F.when(F.col("series") == name, F.col("increase")).otherwise(0.0)).alias(out) for name, out in ((total, "total"), (requests, "requests"))])
+    return summed.withColumn("average", F.col("total") / F.nullif(F.col("requests"), F.lit(0.0)))
+
+
 def histogram(samples: DataFrame, edges: Sequence[float], keys: Sequence[str | Column] = (),
               value: str = "value") -> DataFrame:
     """Cumulative bucket counts per edge (and +Inf), with sum and count of each group.

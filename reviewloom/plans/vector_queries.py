@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewloom.functions import vectors as vec
@@ -11,6 +11,7 @@ from reviewloom.operators import features as ft
 from reviewloom.operators import timeseries as ts
 from reviewloom.operators.aggregates import mean_vectors, request_stats
 from reviewloom.operators.encode import embed_column, hashing_encoder
+from reviewloom.operators.pruned import pruned_top_k
 from reviewloom.operators.topk import top_k
 from reviewloom.plans.catalogue import REVIEWS_SQL, query
 from reviewloom.plans.review_queries import index_tables
@@ -247,6 +248,43 @@ def catalogue_scores(spark: SparkSession, sf: str) -> DataFrame:
     return recommend.score_catalogue(users, items, 10)
 
 
+@query("pruned_scores", f"""
+WITH {REVIEWS_SQL}, {HISTOGRAMS_SQL}
+SELECT user_id, item_id, round(logit, 6) AS logit, rank::integer AS rank FROM (
+  SELECT user_id, item_id, list_inner_product(uv, iv) AS logit, row_number() OVER (PARTITION BY user_id ORDER BY list_inner_product(uv, iv) DESC, item_id) AS rank
+  FROM users, items) WHERE rank <= 7""")
+def pruned_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Every user against the whole catalogue in rounds of a few thousand items."""
+    users, items = star_histograms(spark, sf)
+    found, _ = pruned_top_k(users, items, 7, query_id="user_id", query_vec="user_vec", vector_id="item_id", vector_vec="item_vec", metric="dot",
+                            round_bytes=40_000)
+    return found.select(F.col("query_id").alias("user_id"), F.col("vector_id").alias("item_id"), F.round("score", 6).alias("logit"), "rank")
+
+
+@query("answered_requests", f"""
+WITH {REVIEWS_SQL}, {HISTOGRAMS_SQL},
+asked AS (SELECT c_custkey AS request_id, cast(c_custkey AS varchar) AS user_id, 2 + c_custkey % 2 AS top_k, CASE WHEN c_custkey % 20 = 0 THEN [] ELSE
+  [cast(c_custkey % 300 + 1 AS varchar), 'new ' || c_custkey % 7, cast(c_custkey % 70 + 1 AS varchar), cast(c_custkey % 300 + 1 AS varchar)] END AS list FROM customer),
+known AS (SELECT a.*, coalesce(u.uv, (SELECT uv FROM users ORDER BY user_id LIMIT 1)) AS v FROM asked a LEFT JOIN users u USING (user_id)),
+listed AS (SELECT request_id, user_id, top_k, v, unnest(list) AS item_id, generate_subscripts(list, 1) AS pos FROM known),
+scored AS (SELECT request_id, user_id, top_k, item_id, cast(pos AS varchar) AS tie, list_inner_product(v, coalesce(iv, (SELECT iv FROM items ORDER BY item_id LIMIT 1))) AS logit
+  FROM listed LEFT JOIN items USING (item_id)
+  UNION ALL SELECT request_id, user_id, top_k, item_id, item_id, list_inner_product(v, iv) FROM known, items WHERE len(list) = 0)
+SELECT request_id, user_id, item_id, round(1.0 / (1.0 + exp(-logit)), 4) AS score, rank::integer AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY logit DESC, tie) AS rank FROM scored) WHERE rank <= top_k""")
+def answered_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """One request per customer, many of them without reviews; candidates of which one is new, or none for the whole catalogue."""
+    users, items = star_histograms(spark, sf)
+    key = F.col("c_custkey")
+    names = F.array((key % 300 + 1).cast("string"), F.concat(F.lit("new "), (key % 7).cast("string")), (key % 70 + 1).cast("string"),
+                    (key % 300 + 1).cast("string"))
+    asked = dt.table(spark, sf, "customer").select(
+        key.cast("bigint").alias("request_id"), key.cast("string").alias("user_id"), (F.lit(2) + key % 2).cast("int").alias("top_k"),
+        F.when(key % 20 == 0, F.array().cast("array<string>")).otherwise(names).alias("candidate_items"))
+    first_user, first_item = users.agg(F.min("user_id")).first()[0], items.agg(F.min("item_id")).first()[0]
+    return recommend.answer_requests(asked, users, items, first_user, first_item)
+
+
 @query("candidate_scores", f"""
 WITH {REVIEWS_SQL}, {HISTOGRAMS_SQL}
 SELECT user_id, item_id, rank::integer AS rank, score, cast(trunc(score / max(score) OVER (PARTITION BY user_id) * 100) AS integer) AS match_pct, '#' || rank AS rank_label FROM (
@@ -336,6 +374,35 @@ def hit_ratios(spark: SparkSession, sf: str) -> DataFrame:
     return ts.hit_ratio(samples(spark, sf), HOUR, "view", "error").withColumn("hit_ratio", F.round("hit_ratio", 6))
 
 
+# Counters made from events: per type the running sum of values, which falls back now and then as at a restart.
+COUNTERS_SQL = """counters AS (
+  SELECT event_type AS series, ts, sum(value) OVER (PARTITION BY event_type, user_id % 7 ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS value FROM events),
+grown AS (SELECT series, window_start, sum(CASE WHEN prev IS NULL THEN 0 WHEN value >= prev THEN value - prev ELSE value END) AS increase FROM (
+  SELECT series, (epoch_us(ts) // 1000) // 3600000 * 3600 AS window_start, value, lag(value) OVER (PARTITION BY series ORDER BY ts, value) AS prev FROM counters)
+  GROUP BY ALL),
+pair AS (SELECT window_start, coalesce(sum(increase) FILTER (series = 'view'), 0) AS a, coalesce(sum(increase) FILTER (series = 'click'), 0) AS b
+  FROM grown WHERE series IN ('view', 'click') GROUP BY ALL)"""
+
+
+def counters(spark: SparkSession, sf: str) -> DataFrame:
+    running = Window.partitionBy("event_type", F.col("user_id") % 7).orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    return dt.events(spark, sf).select(F.col("event_type").alias("series"), "ts", F.sum("value").over(running).alias("value"))
+
+
+@query("counter_hit_ratios", f"""
+WITH {COUNTERS_SQL} SELECT window_start, round(a, 4) AS hits, round(b, 4) AS misses, round(a / (a + b), 6) AS hit_ratio, a / (a + b) > 0.95 AS on_target FROM pair WHERE a + b <> 0""")
+def counter_hit_ratios(spark: SparkSession, sf: str) -> DataFrame:
+    made = ts.counter_hit_ratio(counters(spark, sf), HOUR, "view", "click", chunk_rows=2)
+    return made.withColumns({"hits": F.round("hits", 4), "misses": F.round("misses", 4), "hit_ratio": F.round("hit_ratio", 6)})
+
+
+@query("counter_averages", f"""
+WITH {COUNTERS_SQL} SELECT window_start, round(a, 4) AS total, round(b, 4) AS requests, round(a / nullif(b, 0), 6) AS average FROM pair""")
+def counter_averages(spark: SparkSession, sf: str) -> DataFrame:
+    made = ts.counter_average(counters(spark, sf), HOUR, "view", "click")
+    return made.withColumns({"total": F.round("total", 4), "requests": F.round("requests", 4), "average": F.round("average", 6)})
+
+
 EDGES = ts.BUCKETS["rec_candidates"]
 BUCKETS_SQL = """buckets AS (
   SELECT series, window_start, le, count(*) FILTER (value <= le) AS bucket, count(*) AS count, round(sum(value), 4) AS sum FROM (

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -21,6 +22,31 @@ def test_increase_over_resets_and_window_borders(spark):
     assert rate[("c", 0)] == pytest.approx(5 / 60)
 
 
+@pytest.mark.parametrize("chunk_rows", [10 ** 6, 7])
+def test_one_series_with_half_the_rows(spark, chunk_rows):
+    """Chunks of a busy window add up to what one pass in order gives."""
+    rng = random.Random(4)
+    rows = [("busy", rng.randrange(120), float(rng.randrange(50))) for _ in range(600)]
+    rows += [(f"s{i % 20}", rng.randrange(200), float(rng.randrange(9))) for i in range(500)] + [("busy", 5, None), (None, 1, 3.0), (None, 2, 4.5)]
+    want, last = {}, {}
+    for s, t, v in sorted((r for r in rows if r[2] is not None), key=lambda r: (str(r[0]), r[1], r[2])):
+        key = (s, t // 60 * 60)
+        delta = 0.0 if s not in last else v - last[s] if v >= last[s] else v
+        total, n = want.get(key, (0.0, 0))
+        want[key], last[s] = (total + delta, n + 1), v
+    got = ts.counter_increase(samples(spark, rows), 60, chunk_rows=chunk_rows)
+    assert {(r.series, r.window_start - int(T0.timestamp())): (r.increase, r.samples) for r in got.collect()} == want
+    assert "SortAggregate" not in got._jdf.queryExecution().toString()
+
+
+def test_ratios_over_increases(spark):
+    rows = [("hit", 0, 10.0), ("hit", 10, 40.0), ("miss", 5, 1.0), ("miss", 20, 11.0), ("hit", 70, 40.0), ("other", 30, 9.0)]
+    got = ts.counter_hit_ratio(samples(spark, rows), 60, "hit", "miss").collect()
+    assert [(r.hits, r.misses, r.hit_ratio, r.on_target) for r in got] == [(30.0, 10.0, 0.75, False)]
+    mean = ts.counter_average(samples(spark, rows), 60, "hit", "miss").orderBy("window_start").collect()
+    assert [(r.total, r.requests, r.average) for r in mean] == [(30.0, 10.0, 3.0), (0.0, 0.0, None)]
+
+
 def test_hit_ratio_drops_empty_windows(spark):
     rows = [("hit", 0, 1.0), ("hit", 1, 1.0), ("miss", 2, 1.0), ("other", 100, 1.0)]
     got = ts.hit_ratio(samples(spark, rows), 60, "hit", "miss").collect()
