@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from reviewloom.operators.asof import HOT_ROWS, asof_join, profile_keys
 from reviewloom.operators.dedup import latest_per_key
 from reviewloom.operators.skew import join_unique, key_load
+from reviewloom.session import discard
+from reviewloom.session import written as stage
 from reviewloom.store.buckets import BucketTable, Commit, VersionTaken
 from reviewloom.store.registry import FeatureView, Registry
 
@@ -115,9 +117,25 @@ class FeatureStore:
 
     def materialize(self, start: datetime, end: datetime, views: Sequence[str] | None = None,
                     as_of: datetime | None = None) -> dict[str, int]:
-        """Write the newest live rows of [start, end] to the online tables; returns rows per view."""
-        written = {}
-        for view in self._online(views):
+        """Write the newest live rows of [start, end] to the online tables; returns rows per view.
+
+        Views that declare the same fold of one source are made from one scan of it.
+        """
+        written, chosen = {}, self._online(views)
+        groups: dict[tuple[int, int], list[FeatureView]] = {}
+        for view in chosen:
+            if view.fold is not None and view.partial is None:
+                groups.setdefault((id(view.source), id(view.fold)), []).append(view)
+        for members in groups.values():
+            if len(members) > 1:
+                source = members[0].source
+                raw = within(source.load(self.spark), source.timestamp_field, start, end, source.millis_field)
+                folded = stage(members[0].fold(raw), "fold")
+                for view in members:
+                    rows = self.latest(view, view.of_folded(folded), as_of or F.current_timestamp(), finished=True)
+                    written[view.name] = self.publish(view, rows, start, end, whole=True)
+                discard(folded)
+        for view in (v for v in chosen if v.name not in written):
             source = view.source
             raw = within(source.load(self.spark), source.timestamp_field, start, end, source.millis_field)
             info = {}
@@ -125,7 +143,7 @@ class FeatureStore:
                 raw, info = self._folded(view, raw, start, end)
             rows = self.latest(view, raw, as_of or F.current_timestamp(), finished=view.partial is not None)
             written[view.name] = self.publish(view, rows, start, end, whole=True, info=info)
-        return written
+        return {v.name: written[v.name] for v in chosen}
 
     def materialize_incremental(self, end: datetime, views: Sequence[str] | None = None, mode: str = "recompute",
                                 start: datetime | None = None, as_of: datetime | None = None) -> dict[str, int]:

@@ -78,6 +78,8 @@ class FeatureView:
     online: bool = True
     offline: bool = True
     partial: Partial | None = None
+    # What views of one source share: raw rows are folded once for all views with the same function.
+    fold: Transform | None = None
 
     @property
     def keys(self) -> list[str]:
@@ -90,6 +92,10 @@ class FeatureView:
     def rows(self, spark: SparkSession, raw: DataFrame | None = None) -> DataFrame:
         """Keys, event time and features, computed from the source or from ``raw`` source rows."""
         df = self.source.load(spark) if raw is None else raw
+        return self.of_folded(df if self.fold is None else self.fold(df))
+
+    def of_folded(self, df: DataFrame) -> DataFrame:
+        """The view's rows from what ``fold`` made of the raw rows."""
         if self.partial is not None:
             df = self.partial.finish(self.partial.fold(df))
         if self.transform is not None:

@@ -63,17 +63,17 @@ def raw_reviews_source(path: str) -> Source:
     return Source("raw_reviews", loader=lambda spark: ensure_category(spark.read.parquet(path)), millis_field="timestamp")
 
 
-def raw_views(source: Source) -> list[FeatureView]:
-    """The same features computed from raw reviews at materialisation, without stored tables."""
-    @batch_feature_view("user_features", [USER], USER_SCHEMA, source, FEATURE_TTL)
-    def users(df: DataFrame) -> DataFrame:
-        return ft.user_features(normalize_reviews(df))
+def review_pairs(df: DataFrame) -> DataFrame:
+    """Raw reviews folded to one row per user and item, which both feature views are sums over."""
+    return ft.pair_totals(normalize_reviews(df))
 
-    @batch_feature_view("item_features", [ITEM], ITEM_SCHEMA, source, FEATURE_TTL)
-    def items(df: DataFrame) -> DataFrame:
-        return ft.item_features(normalize_reviews(df))
 
-    return [users, items]
+def raw_views(source: Source) -> list[FeatureView]:
+    """The same features computed from raw reviews at materialisation, without stored tables; both come from one fold."""
+    return [
+        FeatureView("user_features", (USER,), USER_SCHEMA, source, FEATURE_TTL, ft.user_features_of, offline=False, fold=review_pairs),
+        FeatureView("item_features", (ITEM,), ITEM_SCHEMA, source, FEATURE_TTL, ft.item_features_of, offline=False, fold=review_pairs),
+    ]
 
 
 def embedding_staging(df: DataFrame) -> DataFrame:
