@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.text import normal_words
+from reviewloom.llm.text import fresh, normal_words, others
 
 WINDOW = 10
 BROADCAST_WINDOWS = 1_000_000  # windows of about 150 bytes; more are joined by shuffle
@@ -59,7 +59,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, t
     lengths = [r[0] for r in windows.select("_length").distinct().collect()]
     few = windows.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
     made = ("n_words", "n_hit", "n_items", "items", "spans", "contaminated")
-    kept = [c for c in docs.columns if c not in made]
+    kept = others(docs, *made)
+    # Helper columns take names that no given column has.
+    own_id, own_hash, hit_id, hit_hash, found_spans = (fresh(docs, n) for n in ("_id", "_text_hash", "_hit_id", "_hit_hash", "_spans"))
     key = [F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_text_hash")]
     spread = docs.select(*key, normal_words(F.col(text)).alias("_words"))
     hits = None
@@ -71,19 +73,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, t
         found = found.select("_id", "_text_hash", F.struct((F.col("_at") + 1).alias("first"),
                                                            (F.col("_at") + F.lit(length)).alias("last")).alias("_span"), "_items")
         hits = found if hits is None else hits.unionByName(found)
-    base = docs.select(*kept, *key, F.size(normal_words(F.col(text))).cast("bigint").alias("n_words"))
+    base = docs.select(*kept, F.col(doc_id).alias(own_id), F.xxhash64(text).alias(own_hash), F.size(normal_words(F.col(text))).cast("bigint").alias("n_words"))
     if hits is None:
-        rows = base.withColumns({"_spans": F.lit(None).cast("array<struct<first:int,last:int>>"),
+        rows = base.withColumns({found_spans: F.lit(None).cast("array<struct<first:int,last:int>>"),
                                  "items": F.lit(None).cast("array<string>")})
     else:
         # What meets in one group are the hits of one document.
         per_doc = hits.groupBy("_id", "_text_hash").agg(
             F.array_sort(F.collect_set("_span")).alias("_spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("_items")))).alias("items"))
-        per_doc = per_doc.select(F.col("_id").alias("_hit_id"), F.col("_text_hash").alias("_hit_hash"), "_spans", "items")
-        rows = base.join(per_doc, F.col("_id").eqNullSafe(F.col("_hit_id")) & (F.col("_text_hash") == F.col("_hit_hash")),
+        per_doc = per_doc.select(F.col("_id").alias(hit_id), F.col("_text_hash").alias(hit_hash), F.col("_spans").alias(found_spans), "items")
+        rows = base.join(per_doc, F.col(own_id).eqNullSafe(F.col(hit_id)) & (F.col(own_hash) == F.col(hit_hash)),
                          "inner" if only_hit else "left")
-    merged = F.expr("""aggregate(coalesce(_spans, array()), cast(array() as array<struct<first:int,last:int>>), (done, s) ->
+    merged = F.expr(f"""aggregate(coalesce({found_spans}, array()), cast(array() as array<struct<first:int,last:int>>), (done, s) ->
         if(size(done) > 0 and element_at(done, -1).last >= s.first - 1,
            concat(slice(done, 1, size(done) - 1),
                   array(named_struct('first', element_at(done, -1).first, 'last', greatest(element_at(done, -1).last, s.last)))),

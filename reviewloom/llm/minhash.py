@@ -32,6 +32,7 @@ BANDS, ROWS = 40, 6   # a pair at similarity 0.8 misses all bands once in 190,00
 LOW_BITS = 4          # kept of each minimum
 SLACK = 6.5           # standard deviations that an estimate may lie below the threshold
 BUCKET_BLOCK = 1_000  # members of a bucket in one task
+BROADCAST_NODES = 1_000_000  # documents whose texts are asked for, 8 bytes each; for more all texts are dealt out
 SET_BLOCK = 1_000_000  # shingles in one task
 CHUNK = 2048          # shingles whose hashes are formed at a time
 
@@ -144,6 +145,9 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, length: int
             yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in kept], pa.int64()), pa.array([b[i] for i in kept], pa.int64())],
                                              names=["a", "b"])
 
+    asked = written(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "asked")
+    if asked.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES:
+        texts = texts.join(F.broadcast(asked), "node", "left_semi")
     both = (near.join(texts.select(F.col("node").alias("a"), F.col("_text").alias("_ta")), "a")
                 .join(texts.select(F.col("node").alias("b"), F.col("_text").alias("_tb")), "b"))
     return both.select("a", "b", "_ta", "_tb").mapInArrow(exact, "a long, b long").distinct()
@@ -282,12 +286,16 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80, text: s
     labels = written(components(links), "labels")
     # The centre has met all others; buckets of three and more may hold further links.
     larger = shared.filter("members > 2 and node <> centre").select(F.col("key").alias("group"), "node")
-    marked = _marked(larger, labels)
-    several = marked.groupBy("group").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-    several = written(several.filter("_low < _high").select("group"), "several")
+    rest = _open(larger, nodes, labels)
+    # Strays meet the smallest of their group; some of them have the same neighbours.
+    strays = written(_stray_pairs(rest), "strays")
+    more = written(_confirmed(strays, nodes, texts, length, percent), "more")
+    if not more.isEmpty():
+        links = written(links.unionByName(more), "links")
+        labels = written(components(links), "labels")
+        rest = _open(larger, nodes, labels)
     # Components with a likely pair in one bucket form a group, and full sets of its members decide.
     signed = nodes.select("node", "n_shingles", "signature", F.lit(None).cast("array<bigint>").alias("values"))
-    rest = written(marked.join(several, "group"), "rest")
     likely = _between(rest.withColumn("_one", F.lit(1)).join(signed, "node"), "_one", BUCKET_BLOCK, _likely_in(percent))
     groups = written(components(written(likely, "likely")), "groups")
     judged = (rest.select("node", "component").distinct()
@@ -310,6 +318,28 @@ def _marked(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return shared.join(labels, "node", "left").select("group", "node", F.coalesce("component", "node").alias("component"))
 
 
+def _open(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``group``, ``node``, ``component``: what may still be linked, one group for every component that strays share buckets with.
+
+    In a bucket whose members lie in several components, the others are strays of its
+    largest one.  Buckets are reduced to their components first, so a document is here
+    once for each such component and not once for every bucket.
+    """
+    parts = _marked(members, labels).groupBy("group", "component").agg(F.count("*").alias("_n"))
+    parts = written(parts, "parts")
+    mains = parts.groupBy("group").agg(F.max_by("component", "_n").alias("_main"), F.count("*").alias("_parts")).filter("_parts > 1")
+    met = parts.join(written(mains.drop("_parts"), "mains"), "group").select(F.col("_main").alias("group"), "component").distinct()
+    placed = nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    return written(placed.join(written(met, "met"), "component").select("group", "node", "component"), "rest")
+
+
+def _stray_pairs(rest: DataFrame) -> DataFrame:
+    """Members that are strays of their group (``a``), each with the smallest of them (``b``)."""
+    strays = written(rest.filter(F.col("component") != F.col("group")).select("group", "node"), "apart")
+    centres = strays.groupBy("group").agg(F.min("node").alias("b"))
+    return strays.join(written(centres, "centres"), "group").filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
+
+
 def _full_sets(texts: DataFrame, length: int) -> DataFrame:
     """``node``, ``n_shingles`` and the sorted hashes of its full set."""
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewloom.llm.text import in_small_batches
+from reviewloom.llm.text import fresh, in_small_batches, others
 from reviewloom.llm.words import hashed_texts, mix64, series, shingles
 from reviewloom.session import written
 
@@ -239,9 +239,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", do
     flags = written(repeated_windows(docs, window, text, doc_id), "flags")
     # The flags of one document meet, at most one for each of its words.
     per_doc = flags.groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("_flags"))
-    kept = [c for c in docs.columns if c not in (text, "n_words", "n_removed")]
-    joined = docs.withColumn("_doc", _id(doc_id)).join(per_doc.withColumnRenamed("doc", "_doc"), "_doc", "left")
-    source = joined.select(*kept, F.col(text).cast("binary").alias("_text"), "_flags")
+    kept = others(docs, text, "n_words", "n_removed")
+    key, flagged_at = fresh(docs, "_doc"), fresh(docs, "_flags")
+    joined = docs.withColumn(key, _id(doc_id)).join(per_doc.select(F.col("doc").alias(key), F.col("_flags").alias(flagged_at)), key, "left")
+    source = joined.select(*kept, F.col(text).cast("binary").alias(fresh(docs, "_text")), flagged_at)
     schema = T.StructType([*[source.schema[c] for c in kept], T.StructField(text, T.StringType()),
                            T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
     names = [*kept, text, "n_words", "n_removed"]

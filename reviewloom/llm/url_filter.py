@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.text import ascii_lower
+from reviewloom.llm.text import ascii_lower, fresh, others
 
 PREFIX = 8            # hex characters of a digest that are joined on
 BROADCAST_RULES = 200_000  # rows of about 200 bytes; more rules are joined by shuffle
@@ -49,7 +49,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
                             F.length("host").alias("_host_chars"), F.col("verdict").alias("_verdict")))
     # One row per shape, not per rule: bounded by labels in a host times lengths of a path.
     shapes = [(r["_labels"], r["_chars"]) for r in ready.select("_labels", "_chars").distinct().collect()]
-    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    kept, chosen = others(pages, "host", "path", "rule", "verdict"), fresh(pages, "_best")
     parsed = pages.select(*kept, url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
     if not shapes:
         return parsed.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
@@ -70,7 +70,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     best = hits.groupBy("host", "path").agg(F.max(F.struct(
         F.length("_rule").alias("chars"), F.col("_host_chars").alias("host_chars"),
         (F.col("_verdict") == "block").alias("blocks"), F.col("_rule").alias("rule"),
-        F.col("_verdict").alias("verdict"))).alias("_best"))
+        F.col("_verdict").alias("verdict"))).alias(chosen))
     judged = parsed.join(best, ["host", "path"], "left")
-    return judged.select(*kept, "host", "path", F.col("_best.rule").alias("rule"),
-                         F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))
+    return judged.select(*kept, "host", "path", F.col(chosen)["rule"].alias("rule"),
+                         F.coalesce(F.col(chosen)["verdict"], F.lit(default)).alias("verdict"))
