@@ -39,7 +39,13 @@ def parser() -> argparse.ArgumentParser:
     training.add_argument("--include-embeddings", action="store_true")
     training.add_argument("--max-interactions", type=int, default=None)
     training.add_argument("--dry-run", action="store_true")
-    everything = job("all", "all stages in order")
+    ingest = job("ingest", "new review JSONL files to Parquet by category, bad lines apart")
+    ingest.add_argument("--category", default=None)
+    ingest.add_argument("--sample", action="store_true")
+    index = job("index", "a stored vector index of an embedding table")
+    index.add_argument("--id-column", default="review_id")
+    index.add_argument("--append", action="store_true")
+    everything = job("all", "all stages in order; taken up again after an interruption")
     everything.add_argument("--metadata-input", default=None)
     everything.add_argument("--start", type=datetime.fromisoformat, default=None)
     everything.add_argument("--end", type=datetime.fromisoformat, default=None)
@@ -66,4 +72,8 @@ def main(argv: list[str] | None = None) -> dict:
         return jobs.training_set_job(spark, args.input, args.output, args.interactions,
                                      embeddings if args.include_embeddings else None, args.max_interactions,
                                      args.dry_run, table)
+    if args.job == "ingest":
+        return jobs.ingest_job(spark, args.input, args.output, args.category, args.sample)
+    if args.job == "index":
+        return jobs.index_job(spark, args.input, args.output, args.id_column, args.append)
     return jobs.run_all(spark, args.input, args.output, args.metadata_input, args.start, args.end)

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,12 +20,15 @@ from reviewloom.operators.dedup import distinct_reviews
 from reviewloom.operators.encode import EMBEDDING_DIM, Encoder, embed_column, hashing_encoder
 from reviewloom.operators.joins import join_item_vectors
 from reviewloom.operators.sampling import cap_and_spread, cap_rows, example_shares, split_label
+from reviewloom.plans.graph import JobGraph, Stage
 from reviewloom.plans.report import JobReport
 from reviewloom.session import spread, written
-from reviewloom.sources.readers import category_folders, read_parquet_list, split_paths
+from reviewloom.sources.ingest import ReviewIngest
+from reviewloom.sources.readers import SAMPLE_PER_CATEGORY, category_folders, read_parquet_list, split_paths
 from reviewloom.sources.writers import (ensure_vector_table, insert_vectors, vector_rows, write_by_category, write_dataset,
                                         write_text_splits)
 from reviewloom.store.feature_store import FeatureStore
+from reviewloom.store.vector_index import N_LIST, VectorIndex
 from reviewloom.store.views import TRAINING_FEATURES, stored_views
 
 EncoderFactory = Callable[[], Encoder]
@@ -208,22 +210,56 @@ def training_set_job(spark: SparkSession, features_base: str, output: str, inter
 
 def run_all(spark: SparkSession, raw: str, base: str, metadata_input: str | None = None, start: datetime | None = None,
             end: datetime | None = None, encoder: EncoderFactory | None = None) -> dict[str, dict]:
-    """All data stages in dependency order: features, text, embeddings; store; training set."""
+    """All data stages in dependency order: features, text, embeddings; store; training set.
+
+    A run that was interrupted is taken up again: stages whose inputs and outputs are as a
+    run before left them are skipped, and their results come from its log below ``base``.
+    """
     root = base.rstrip("/")
-    for path in split_paths(raw):
+    inputs = tuple(split_paths(raw))
+    for path in inputs:
         spark.read.parquet(path).schema  # a missing input fails here, before any output is touched
-    # The first three stages do not depend on each other and share the cluster.
-    stages = {
-        "features": lambda: feature_job(spark, raw, root, metadata_input),
-        "text": lambda: text_job(spark, raw, f"{root}/text"),
-        "embeddings": lambda: embedding_job(spark, raw, f"{root}/review_embeddings", encoder=encoder),
-    }
-    with ThreadPoolExecutor(len(stages)) as pool:
-        running = {name: pool.submit(stage) for name, stage in stages.items()}
-        done = {name: future.result() for name, future in running.items()}
-    store = FeatureStore(spark, f"{root}/store")
-    store.apply(stored_views(root))
     began = start or datetime(2010, 1, 1)
-    done["materialize"] = store.materialize_incremental(end or datetime.now(timezone.utc), start=began)
-    done["training_set"] = training_set_job(spark, root, f"{root}/training_dataset")
-    return done
+
+    def materialize() -> dict:
+        store = FeatureStore(spark, f"{root}/store")
+        store.apply(stored_views(root))
+        return store.materialize_incremental(end or datetime.now(timezone.utc), start=began)
+
+    features = tuple(f"{root}/{name}" for name in ("interactions", "user_features", "item_features"))
+    metadata = (metadata_input,) if metadata_input else ()
+    # The first three stages do not depend on each other and share the cluster.
+    done = JobGraph(spark, f"{root}/jobs", [
+        Stage("features", lambda: feature_job(spark, raw, root, metadata_input), inputs=inputs + metadata, outputs=features),
+        Stage("text", lambda: text_job(spark, raw, f"{root}/text"), inputs=inputs, outputs=(f"{root}/text",)),
+        Stage("embeddings", lambda: embedding_job(spark, raw, f"{root}/review_embeddings", encoder=encoder), inputs=inputs,
+              outputs=(f"{root}/review_embeddings",)),
+        Stage("materialize", materialize, needs=("features",), parameters={"start": began.isoformat(), "end": end.isoformat() if end else None}),
+        Stage("training_set", lambda: training_set_job(spark, root, f"{root}/training_dataset"), needs=("materialize",),
+              outputs=(f"{root}/training_dataset",)),
+    ]).run()
+    return {name: stage["result"] for name, stage in done.items()}
+
+
+def ingest_job(spark: SparkSession, folder: str, output: str, category: str | None = None, sample: bool = False) -> dict:
+    """New review files of ``folder`` to Parquet by category, bad lines to the reject table."""
+    report = JobReport(spark, "ingest")
+    ingest = ReviewIngest(spark, output)
+    counts = ingest.run(folder, category, SAMPLE_PER_CATEGORY if sample else None)
+    total = 0
+    for r in counts.groupBy("reason").agg(F.sum("lines").alias("lines")).collect():  # one row per reason
+        report.metric("good_rows" if r["reason"] is None else f"rejected: {r['reason']}", r["lines"])
+        total += r["lines"]
+    return report.finish(total)
+
+
+def index_job(spark: SparkSession, vectors: str, output: str, vector_id: str = "review_id", append: bool = False, n_list: int = N_LIST) -> dict:
+    """A stored vector index of an embedding table, or more rows for it."""
+    report = JobReport(spark, "vector_index")
+    index = VectorIndex(spark, output, vector_id=vector_id)
+    rows = read_parquet_list(spark, vectors)
+    state = index.append(rows) if append else index.build(rows, n_list)
+    report.metric("indexed_rows", state.rows)
+    report.metric("nprobe", state.nprobe)
+    report.metric("sample_recall", state.recall)
+    return report.finish(state.rows)
