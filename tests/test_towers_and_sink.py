@@ -23,9 +23,11 @@ def test_features_and_factors_beat_what_each_gives_alone(spark):
     rows = interactions(spark)
     held = F.pmod(F.xxhash64("user_id", "item_id", "signal"), F.lit(5)) == 0
     train, test = rows.filter(~held), rows.filter(held)
-    both = towers.fit_towers(train, ("signal", "flat"), steps=60)
+    decay = towers.choose_decay(train, ("signal", "flat"), steps=40)
+    assert decay == 2.0
+    both = towers.fit_towers(train, ("signal", "flat"), steps=60, decay=decay)
     plain = towers.fit_towers(train, ("signal", "flat"), factors=False, steps=60)
-    ids = towers.fit_towers(train, (), steps=60)
+    ids = towers.fit_towers(train, (), steps=60, decay=decay)
     loss = {n: towers.log_loss(towers.score_towers(test, m)) for n, m in (("both", both), ("plain", plain), ("ids", ids))}
     p = train.agg(F.avg("label")).first()[0]
     mean = towers.log_loss(test.withColumn("score", F.lit(p)))
