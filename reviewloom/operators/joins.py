@@ -12,25 +12,28 @@ from reviewloom.operators.features import ITEM_FEATURES, USER_FEATURES, fill_fea
 from reviewloom.operators.skew import join_unique, key_loads
 
 
-def _one_row(features: DataFrame, key: str, wanted: Sequence[str]) -> DataFrame:
+def _one_row(features: DataFrame, key: str, wanted: Sequence[str], unique: bool) -> DataFrame:
     columns = [c for c in wanted if c in features.columns]
+    if unique:
+        return features.select(key, *columns)
     if "event_timestamp" in features.columns:
         newest = latest_per_key(features.select(key, *columns, "event_timestamp"), [key], "event_timestamp", ties=columns)
         return newest.drop("event_timestamp")
     return one_per_key(features.select(key, *columns), [key])
 
 
-def join_features(interactions: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+def join_features(interactions: DataFrame, users: DataFrame, items: DataFrame, unique: bool = False) -> DataFrame:
     """Interactions with the current user and item features, missing values as 0.0.
 
-    Each feature side holds one row per key; heavy users and items are counted on the
-    interactions as given.
+    Of several rows of a key the newest counts; ``unique`` says that there are none, as in
+    the tables that ``user_features`` and ``item_features`` make, and saves that step.
+    Heavy users and items are counted on the interactions as given.
     """
     if "item_id" not in items.columns:
         items = items.withColumnRenamed("parent_asin", "item_id")
     by_user, by_item = key_loads(interactions, "user_id", "item_id")
-    joined = join_unique(interactions, _one_row(users, "user_id", USER_FEATURES), "user_id", "left", by_user)
-    return fill_features(join_unique(joined, _one_row(items, "item_id", ITEM_FEATURES), "item_id", "left", by_item))
+    joined = join_unique(interactions, _one_row(users, "user_id", USER_FEATURES, unique), "user_id", "left", by_user)
+    return fill_features(join_unique(joined, _one_row(items, "item_id", ITEM_FEATURES, unique), "item_id", "left", by_item))
 
 
 def join_item_vectors(rows: DataFrame, vectors: DataFrame, key: str = "item_id",

@@ -17,7 +17,7 @@ from reviewloom.operators.asof import asof_join
 from reviewloom.operators.ordered import dense_index
 from reviewloom.plans import jobs
 from reviewloom.plans.catalogue import (CLEAN_SQL, DOC_REVIEWS_SQL, ITEMS_SQL, REVIEWS_SQL, USERS_SQL, hex_number, query)
-from reviewloom.session import scratch_path
+from reviewloom.session import scratch_path, written
 from reviewloom.sources import driver_tables as dt
 from reviewloom.sources import readers, writers
 from reviewloom.store import Entity, FeatureStore, FeatureView, Source
@@ -364,8 +364,9 @@ SELECT r.user_id, r.parent_asin AS item_id, r.timestamp AS event_timestamp, r.ra
        round(coalesce(item_rating_stddev, 0), 6) AS item_rating_stddev, coalesce(item_total_helpful_votes, 0) AS item_total_helpful_votes
 FROM reviews r LEFT JOIN user_features u USING (user_id) LEFT JOIN item_features i ON i.item_id = r.parent_asin""")
 def current_feature_join(spark: SparkSession, sf: str) -> DataFrame:
-    reviews = dt.reviews(spark, sf)
-    joined = joins.join_features(ft.interactions(reviews), ft.user_features(reviews), ft.item_features(reviews, dt.metadata(spark, sf)))
+    reviews = written(ft.narrow_reviews(dt.reviews(spark, sf)), "reviews")
+    joined = joins.join_features(ft.interactions(reviews), ft.user_features(reviews), ft.item_features(reviews, dt.metadata(spark, sf)),
+                                 unique=True)
     return joined.withColumns(r6("user_avg_rating", "item_rating_stddev")).select(
         "user_id", "item_id", "event_timestamp", "rating", "user_avg_rating", "user_unique_items", "item_rating_stddev",
         "item_total_helpful_votes")
@@ -414,7 +415,7 @@ def indexed_interactions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def index_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    pairs = ft.interactions(dt.reviews(spark, sf))
+    pairs = written(ft.interactions(dt.reviews(spark, sf)), "interactions")
     users, items = dense_index(pairs, "user_id", "user_idx"), dense_index(pairs, "item_id", "item_idx")
     return joins.index_interactions(pairs, users, items), users, items
 
@@ -607,10 +608,10 @@ def online_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return store.get_online_features(["last_event:event_type", "last_event:value"], asked)
 
 
-def review_store(spark: SparkSession, sf: str) -> FeatureStore:
+def review_store(spark: SparkSession, reviews: DataFrame) -> FeatureStore:
     """Both feature views computed from raw reviews."""
     store = FeatureStore(spark, scratch_path(spark, "store"))
-    source = Source("raw_reviews", loader=lambda session: dt.reviews(session, sf), millis_field="timestamp")
+    source = Source("raw_reviews", loader=lambda session: reviews, millis_field="timestamp")
     store.apply(raw_views(source))
     return store
 
@@ -629,7 +630,8 @@ FROM reviews r LEFT JOIN user_features u USING (user_id) LEFT JOIN item_features
 SELECT user_id, item_id, ms, label, round(coalesce(user_avg_rating, 0), 6) AS user_avg_rating, coalesce(user_review_count, 0) AS user_review_count,
        round(coalesce(item_rating_stddev, 0), 6) AS item_rating_stddev, coalesce(item_review_count, 0) AS item_review_count FROM training""")
 def training_set(spark: SparkSession, sf: str) -> DataFrame:
-    rows = jobs.training_set(review_store(spark, sf), ft.interactions(dt.reviews(spark, sf)))
+    reviews = written(ft.narrow_reviews(dt.reviews(spark, sf)), "reviews")
+    rows = jobs.training_set(review_store(spark, reviews), ft.interactions(reviews))
     return rows.withColumns(r6("user_avg_rating", "item_rating_stddev")).select(
         "user_id", "item_id", F.unix_millis("event_timestamp").alias("ms"), "label", "user_avg_rating", "user_review_count",
         "item_rating_stddev", "item_review_count")
