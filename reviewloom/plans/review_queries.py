@@ -22,7 +22,7 @@ from reviewloom.sources import driver_tables as dt
 from reviewloom.sources import readers, writers
 from reviewloom.store import Entity, FeatureStore, FeatureView, Source
 from reviewloom.store.feature_store import alive, within
-from reviewloom.store.views import raw_views
+from reviewloom.store.views import TRAINING_FEATURES, raw_views
 from reviewloom.streaming.incremental import materialize_new_files
 
 
@@ -637,17 +637,27 @@ def training_set(spark: SparkSession, sf: str) -> DataFrame:
         "item_rating_stddev", "item_review_count")
 
 
-@query("training_summary", f"""
+def _null_rates_sql() -> str:
+    """Point-in-time features of every review, left as they are, and the null rate of each of the twelve."""
+    users = ", ".join(f"u.{c}" for c in ft.USER_FEATURES)
+    items = ", ".join(f"i.{c}" for c in ft.ITEM_FEATURES if c != "item_price")
+    rates = " UNION ALL ".join(f"SELECT '{c}' AS feature, round(avg(({c} IS NULL)::integer), 6) AS null_rate FROM joined"
+                               for c in ft.USER_FEATURES + ft.ITEM_FEATURES)
+    return f"""
 WITH {REVIEWS_SQL}, {USERS_SQL}, {ITEMS_SQL}, joined AS (
-  SELECT r.user_id, r.parent_asin AS item_id, CASE WHEN r.rating >= 4 THEN 1.0::double ELSE 0.0::double END AS label, u.user_avg_rating, i.item_rating_stddev
-  FROM reviews r LEFT JOIN (SELECT * FROM user_features WHERE user_tenure_days > 2200) u USING (user_id) LEFT JOIN item_features i ON i.item_id = r.parent_asin)
+  SELECT r.user_id, r.parent_asin AS item_id, CASE WHEN r.rating >= 4 THEN 1.0::double ELSE 0.0::double END AS label,
+         {users}, {items}, NULL::float AS item_price
+  FROM reviews r LEFT JOIN user_features u ON u.user_id = r.user_id AND u.last_ms <= r.timestamp
+  LEFT JOIN item_features i ON i.item_id = r.parent_asin AND i.last_ms <= r.timestamp)
 SELECT s.*, feature, null_rate, null_rate > 0.05 AS flagged FROM (
   SELECT count(*) AS rows, count(DISTINCT user_id) AS users, count(DISTINCT item_id) AS items, round(avg(label), 6) AS positive_rate FROM joined) s,
- (SELECT 'user_avg_rating' AS feature, round(avg((user_avg_rating IS NULL)::integer), 6) AS null_rate FROM joined
-  UNION ALL SELECT 'item_rating_stddev', round(avg((item_rating_stddev IS NULL)::integer), 6) FROM joined) f""")
+ ({rates}) f"""
+
+
+@query("training_summary", _null_rates_sql())
 def training_summary(spark: SparkSession, sf: str) -> DataFrame:
-    reviews = dt.reviews(spark, sf)
-    users = ft.user_features(reviews).filter(F.col("user_tenure_days") > 2200).select("user_id", "user_avg_rating")
-    items = ft.item_features(reviews).select("item_id", "item_rating_stddev")
-    joined = ft.interactions(reviews).join(users, "user_id", "left").join(items, "item_id", "left")
+    """All twelve features as they were at each review; prices are null, for the views are computed without metadata."""
+    reviews = written(ft.narrow_reviews(dt.reviews(spark, sf)), "reviews")
+    entities = ft.labelled_interactions(ft.interactions(reviews)).select("user_id", "item_id", "event_timestamp", "label")
+    joined = review_store(spark, reviews).get_historical_features(entities, TRAINING_FEATURES)
     return ft.dataset_summary(joined).withColumns(r6("positive_rate", "null_rate"))
