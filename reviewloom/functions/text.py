@@ -58,12 +58,20 @@ def truncate_chars(text: Column | str, limit: int) -> Column:
 def truncate_bytes(text: Column | str, limit: int = VECTOR_TEXT_BYTES) -> Column:
     """Longest prefix of at most ``limit`` UTF-8 bytes that does not cut a character.
 
-    The byte prefix is repaired with ``make_valid_utf8``, which turns a cut
-    character into a trailing replacement mark that is then dropped.
+    A character of up to four bytes begins at one of the four bytes from ``limit - 2`` to
+    ``limit + 1``; the prefix ends before the last such beginning.
     """
     value = _col(text)
-    head = F.make_valid_utf8(F.substring(F.encode(value, "UTF-8"), 1, limit).cast("string"))
-    return F.when(F.octet_length(value) <= limit, value).otherwise(F.rtrim(head, F.lit("�")))
+    data = F.encode(value, "UTF-8")
+
+    def begins(at: int) -> Column:
+        return ~F.hex(F.substring(data, at, 1)).between("80", "BF")
+
+    end = F.when(begins(limit + 1), limit)
+    for back in (1, 2):
+        end = end.when(begins(limit + 1 - back), limit - back)
+    head = F.substring(data, F.lit(1), end.otherwise(limit - 3)).cast("string")
+    return F.when(F.octet_length(value) <= limit, value).otherwise(head)
 
 
 def review_id(user: Column | str = "user_id", item: Column | str = "parent_asin",

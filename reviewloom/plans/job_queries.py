@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.functions import text as tx
+from reviewloom.operators import features as ft
 from reviewloom.operators.encode import hashing_encoder
 from reviewloom.operators.topk import top_k
 from reviewloom.plans import jobs
 from reviewloom.plans.catalogue import REVIEWS_SQL, query
+from reviewloom.plans.review_queries import TRUNCATED
 from reviewloom.session import scratch_path
 from reviewloom.sources import driver_tables as dt
 from reviewloom.sources import writers
@@ -39,8 +41,11 @@ def embedding_dataset(spark: SparkSession, sf: str) -> DataFrame:
         F.sum(F.size("embedding")).alias("vector_values"), F.sum(F.length("embed_text")).alias("characters"))
 
 
-@query("vector_table_from_reviews", EMBEDDED_SQL.format(most=tx.EMBED_INPUT_CHARS).replace(
-    "cast(sum(length(", "cast(sum(0 * length("))
+@query("vector_table_from_reviews", f"""
+SELECT user_id, count(*) AS rows, count(DISTINCT doc_id) AS reviews, {DIM}::bigint * count(*) AS vector_values,
+       cast(sum(CASE WHEN strlen(text) <= 508 THEN length(text) ELSE {TRUNCATED} END) AS bigint) AS characters
+FROM (SELECT doc_id, source AS user_id, substr(coalesce(lang, '') || ' ' || coalesce(text, ''), 1, {tx.EMBED_INPUT_CHARS}) AS text FROM documents)
+WHERE length(text) >= 20 GROUP BY user_id""")
 def vector_table_from_reviews(spark: SparkSession, sf: str) -> DataFrame:
     """The vector table job over every document, without a cap."""
     raw, path = _stored(spark, dt.document_reviews(spark, sf), "raw"), scratch_path(spark, "vectors")
@@ -48,7 +53,7 @@ def vector_table_from_reviews(spark: SparkSession, sf: str) -> DataFrame:
     jobs.vector_table_job(spark, raw, name, path, encoder=hashing_encoder(DIM), dim=DIM, partitions=8)
     return spark.table(name).groupBy("user_id").agg(
         F.count("*").alias("rows"), F.count_distinct("review_id").alias("reviews"),
-        F.sum(F.size("embedding")).alias("vector_values"), F.lit(0).cast("bigint").alias("characters"))
+        F.sum(F.size("embedding")).alias("vector_values"), F.sum(F.length("embed_text")).alias("characters"))
 
 
 @query("preprocessed_folders", f"""
@@ -81,21 +86,19 @@ def stripped_embed_texts(spark: SparkSession, sf: str) -> DataFrame:
     return docs.filter(F.length("t") >= tx.MIN_EMBED_CHARS).select("doc_id", F.length("t").alias("chars"))
 
 
-@query("placeholder_tables", """
-SELECT 'item_features' AS name, 0::bigint AS rows, count(*) > 0 AS source_read FROM orders
-UNION ALL SELECT 'user_features', 0, count(*) > 0 FROM orders""")
+@query("placeholder_tables", f"""
+WITH {REVIEWS_SQL}
+SELECT 'item_features' AS name, 0::bigint AS rows, 0::bigint AS reviews
+UNION ALL SELECT 'user_features', count(DISTINCT user_id), count(*) FROM reviews""")
 def placeholder_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """Empty tables stand in for the feature tables, and do not replace one that was written."""
+    """An empty table stands in for item features; user features, written before, are not replaced."""
     base = scratch_path(spark, "base")
-    read = dt.table(spark, sf, "orders").agg((F.count("*") > 0).alias("source_read"))
-    out = None
-    for path in writers.write_placeholders(spark, base):
-        name = path.rsplit("/", 1)[-1]
-        if name not in ("item_features", "user_features"):
-            continue
-        one = spark.read.parquet(path).agg(F.lit(name).alias("name"), F.count("*").alias("rows")).crossJoin(read)
-        out = one if out is None else out.unionByName(one)
-    return out
+    writers.write_dataset(ft.user_features(dt.reviews(spark, sf)), f"{base}/user_features")
+    made = {path.rsplit("/", 1)[-1]: path for path in writers.write_placeholders(spark, base)}
+    items, users = (spark.read.parquet(made[name]).agg(
+        F.lit(name).alias("name"), F.count("*").alias("rows"), F.coalesce(F.sum(counted), F.lit(0)).cast("bigint").alias("reviews"))
+        for name, counted in (("item_features", "item_review_count"), ("user_features", "user_review_count")))
+    return items.unionByName(users)
 
 
 @query("similar_vectors_odd_values", """

@@ -18,6 +18,8 @@ def column(spark, values, expression, kind="string"):
 def test_byte_truncation_never_cuts_a_character(spark):
     texts = [c * n for c in ("a", "é", "€", "😀", "aé€😀") for n in (0, 1, 2, 3, 5, 126, 127, 128, 169, 170, 254, 255, 508, 509)]
     texts += ["x" * k + "😀" * 3 for k in range(500, 512)]
+    # A replacement mark of the text itself stays, also just before the cut.
+    texts += ["x" * k + "\ufffd" + c * 4 for k in range(500, 509) for c in ("é", "€", "😀", "\ufffd")]
     want = [t if len(t.encode()) <= 508 else t.encode()[:508].decode("utf-8", errors="ignore") for t in texts]
     assert column(spark, texts, tx.truncate_bytes("v")) == want
     assert column(spark, [None], tx.truncate_bytes("v")) == [None]
