@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.operators.dedup import latest_per_key, one_per_key
 from reviewloom.operators.features import ITEM_FEATURES, USER_FEATURES, fill_features
-from reviewloom.operators.skew import join_unique, key_loads
+from reviewloom.operators.skew import HOT_ROWS, join_unique, key_loads
 
 
 def _one_row(features: DataFrame, key: str, wanted: Sequence[str], unique: bool) -> DataFrame:
@@ -55,6 +55,7 @@ def index_interactions(interactions: DataFrame, users: DataFrame, items: DataFra
     return joined.fillna(0, subset=["user_idx", "item_idx"]) if unknown == "first" else joined
 
 
-def restore_ids(indexed: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-    """Back from dense indexes to the original ids."""
-    return indexed.join(users, "user_idx", "left").join(items, "item_idx", "left")
+def restore_ids(indexed: DataFrame, users: DataFrame, items: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Back from dense indexes to the original ids; indexes that no id has get null."""
+    by_user, by_item = key_loads(indexed, "user_idx", "item_idx", hot_rows=hot_rows)
+    return join_unique(join_unique(indexed, users, "user_idx", "left", by_user), items, "item_idx", "left", by_item)
