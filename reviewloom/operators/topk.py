@@ -2,8 +2,9 @@
 
 Few queries travel to the vectors: a counted, bounded query matrix is broadcast and
 each partition keeps its own best ``k`` per query.  Many queries meet the vectors in
-a grid of bounded blocks, each block again keeping ``k`` per query.  Only those local
-winners are shuffled and ranked.
+a grid of bounded cells, each cell again keeping ``k`` per query.  Only those local
+winners are shuffled and ranked.  A cell is worked off in smaller blocks, so small blocks
+do not mean many copies of the rows.
 """
 
 from __future__ import annotations
@@ -23,8 +24,11 @@ from reviewloom.operators.skew import join_counted
 FEW_QUERIES = 4_096
 BLOCK_QUERIES = 4_096
 BLOCK_VECTORS = 65_536
-QUERY_STRIPE = 256
+QUERY_STRIPE, VECTOR_STRIPE = 256, 4_096
 MIN_BLOCK = 1_024
+# Every row is sent to each cell of its grid row or column.  Up to so many cells a side as
+# blocks are asked for; more only where a cell would exceed so many rows.
+COPIES, CELL_ROWS = 8, 65_536
 # Scores are ranked after rounding to this many digits, so that equal vectors tie
 # exactly wherever they are computed; ties go to the smaller vector id.
 RANK_DIGITS = 9
@@ -63,6 +67,51 @@ def _best(table: pd.DataFrame, k: int) -> pd.DataFrame:
     return ordered[ordered.groupby("q", sort=False).cumcount() < k]
 
 
+def _first_hits(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the best ``k`` rounded scores of every row, of those that tie at the k-th the first."""
+    if scores.shape[1] <= k:
+        rows, cols = np.indices(scores.shape)
+        return rows.ravel(), cols.ravel()
+    floor = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k][:, None]
+    above, level = scores > floor, scores == floor
+    left = k - above.sum(axis=1, dtype=np.int32)
+    return np.nonzero(above | (level & (np.cumsum(level, axis=1, dtype=np.int32) <= left[:, None])))
+
+
+def _stripe_top(wanted: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query number, vector number and score of the best ``k`` of a stripe of queries, vectors taken in stripes too.
+
+    Vectors are in the order of their ids: one of a later stripe that ties with the k-th score loses.
+    """
+    q, at, score = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    floor = np.full(len(wanted), -np.inf)
+    for start in range(0, len(vectors), VECTOR_STRIPE):
+        raw = wanted @ vectors[start:start + VECTOR_STRIPE].T
+        if start == 0:
+            raw = np.round(raw, RANK_DIGITS)
+            rows, cols = _first_hits(raw, k)
+            values = raw[rows, cols]
+        else:
+            # What rounds to more than the k-th score is not far below it; only that is rounded.
+            least = floor + 0.4 * 10.0 ** -RANK_DIGITS - 1e-15 * np.abs(np.where(np.isfinite(floor), floor, 0.0))
+            rows, cols = np.nonzero(raw >= least[:, None])
+            values = np.round(raw[rows, cols], RANK_DIGITS)
+            higher = values > floor[rows]
+            rows, cols, values = rows[higher], cols[higher], values[higher]
+            if not len(rows):
+                continue
+        q, at, score = np.concatenate([q, rows]), np.concatenate([at, cols + start]), np.concatenate([score, values])
+        order = np.lexsort((at, -score, q))
+        q, at, score = q[order], at[order], score[order]
+        first = np.searchsorted(q, q)
+        kept = np.arange(len(q)) - first < k
+        q, at, score = q[kept], at[kept], score[kept]
+        counts = np.bincount(q, minlength=len(wanted))
+        full = counts >= k
+        floor[full] = score[np.cumsum(counts)[full] - 1]
+    return q, at, score
+
+
 def _local_top(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> pd.DataFrame:
     """Best ``k`` rows of one block for every query; stripes bound the score matrix.
 
@@ -73,15 +122,8 @@ def _local_top(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int
     order = np.argsort(ids, kind="stable")
     vectors, ids = vectors[order], ids[order]
     for start in range(0, len(queries) if len(vectors) else 0, QUERY_STRIPE):
-        scores = np.round(queries[start:start + QUERY_STRIPE] @ vectors.T, RANK_DIGITS)
-        if scores.shape[1] > k:
-            floor = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k][:, None]
-            above, level = scores > floor, scores == floor
-            left = k - above.sum(axis=1, dtype=np.int32)
-            rows, cols = np.nonzero(above | (level & (np.cumsum(level, axis=1, dtype=np.int32) <= left[:, None])))
-        else:
-            rows, cols = (a.ravel() for a in np.indices(scores.shape))
-        found.append(_best(pd.DataFrame({"q": rows + start, "vid": ids[cols], "score": scores[rows, cols]}), k))
+        q, at, score = _stripe_top(queries[start:start + QUERY_STRIPE], vectors, k)
+        found.append(pd.DataFrame({"q": q + start, "vid": ids[at], "score": score}))
     return pd.concat([f for f in found if len(f)] or found[:1], ignore_index=True)
 
 
@@ -137,9 +179,9 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
 
 
 def _block_search(queries: DataFrame, vectors: DataFrame, blocks: int, schema: T.StructType, k: int, metric: str) -> DataFrame:
-    """Search within blocks.  Inputs carry ``_r, _c`` block numbers, an id and a vector.
+    """Search within cells.  Inputs carry ``_r, _c`` cell numbers, an id and a vector.
 
-    The blocks are few bytes but much arithmetic, so their number of partitions is fixed
+    The cells are few bytes but much arithmetic, so their number of partitions is fixed
     and not coalesced by size.
     """
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -158,6 +200,11 @@ def _block_search(queries: DataFrame, vectors: DataFrame, blocks: int, schema: T
     return left.cogroup(right).applyInArrow(search, schema)
 
 
+def _cells(rows: int, block: int) -> int:
+    """How many cells a side of ``rows`` rows is cut into for blocks of ``block`` rows."""
+    return max(1, min(ceil(rows / block), max(COPIES, ceil(rows / CELL_ROWS))))
+
+
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, *, query_id: str = "query_id",
           query_vec: str = "query_vec", vector_id: str = "vector_id", vector_vec: str = "embedding",
           metric: str = "cosine", few_queries: int = FEW_QUERIES, block_queries: int = BLOCK_QUERIES,
@@ -176,10 +223,10 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, *, query_id: str =
             return _rank(vectors.sparkSession.createDataFrame([], _result_schema(queries, vectors, query_id, vector_id)), k)
         return _rank(_broadcast_search(head, queries, vectors, k, query_id, query_vec, vector_id, vector_vec, metric), k)
 
-    cols = max(1, ceil(queries.count() / block_queries))
+    cols = _cells(queries.count(), block_queries)
     n_vectors = vectors.count()
-    rows = max(1, ceil(n_vectors / block_vectors))
-    # Small tables are cut finer, so that every core gets a block.
+    rows = _cells(n_vectors, block_vectors)
+    # Small tables are cut finer, so that every core gets a cell.
     cores = queries.sparkSession.sparkContext.defaultParallelism
     rows = max(rows, min(ceil(2 * cores / cols), ceil(n_vectors / MIN_BLOCK)))
     left = queries.select(

@@ -159,3 +159,20 @@ def test_measured_search_reaches_its_recall(spark):
 
     assert share(ivf.approximate_top_k(asked, clustered, model, 5, nprobe=2, vector_id="vec_id")) < 0.9
     assert share(ivf.measured_top_k(asked, clustered, model, 5, nprobe=2, least=0.9, vector_id="vec_id")) >= 0.9
+
+
+def test_small_blocks_do_not_multiply_the_rows(spark):
+    """Rows sent to the grid grow with the table, not with its square, and later stripes of vectors still win or tie rightly."""
+    from reviewloom.operators import topk
+    assert [topk._cells(n, 64) for n in (1, 500, 5_000, 100_000)] == [1, 8, 8, 8]
+    assert topk._cells(1 << 20, 64) == 16 and topk._cells(100, 1 << 12) == 1
+    rng = np.random.default_rng(11)
+    vectors = rng.integers(-2, 3, size=(9_500, 3)).astype(float)   # more than two stripes, nearly all of them ties
+    vectors[9_400] = [3.0, 3.0, 2.5]
+    queries = rng.integers(-2, 3, size=(270, 3)).astype(float)
+    got = topk._local_top(queries, vectors, np.arange(9_500) * 2, 6)
+    assert got.groupby("q").size().eq(6).all() and got["q"].nunique() == 270
+    scores = np.round(queries @ vectors.T, topk.RANK_DIGITS)
+    for q, part in got.groupby("q"):
+        want = np.lexsort((np.arange(9_500), -scores[q]))[:6]
+        assert part["vid"].tolist() == (want * 2).tolist() and np.array_equal(part["score"], scores[q][want])
