@@ -36,6 +36,27 @@ def test_features_and_factors_beat_what_each_gives_alone(spark):
     assert np.allclose(again[0].weights, again[1].weights) and np.allclose(again[0].table, again[1].table)
 
 
+def test_models_fitted_together_read_the_samples_once_a_step(spark, monkeypatch):
+    """Two models and their pulls come from the passes of one, with the parameters that each gets alone."""
+    rows, passes = interactions(spark, 300), []
+    plain = towers._gradients
+
+    def counted(*args):
+        passes.append(len(args[1]))
+        return plain(*args)
+
+    monkeypatch.setattr(towers, "_gradients", counted)
+    fits = [towers.Fit(("signal", "flat"), decay=2.0), towers.Fit((), decay=50.0), towers.Fit(("flat",), factors=False)]
+    together = towers.fit_several(rows, fits, steps=3)
+    assert passes == [3, 3, 3]
+    for fit, model in zip(fits, together):
+        alone = towers.fit_towers(rows, fit.features, fit.factors, steps=3, decay=fit.decay)
+        assert np.allclose(model.weights, alone.weights) and np.allclose(model.table, alone.table) and model.features == alone.features
+    passes.clear()
+    towers.choose_decay(rows, ("signal",), steps=2)
+    assert passes == [3, 3]
+
+
 def test_gradient_agrees_with_differences(spark):
     rows = interactions(spark, 40)
     model = towers.fit_towers(rows, ("signal",), steps=2)
