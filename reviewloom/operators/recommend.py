@@ -13,6 +13,8 @@ from reviewloom.operators.topk import FEW_QUERIES, top_k
 from reviewloom.session import written
 
 SCORE_DIGITS = 4
+FACTOR_BLOCKS = 10              # blocks of users and of items that a factor model has at least
+SAMPLES_PER_BLOCK = 4_000_000   # of either side, some 100 bytes each while they are dealt out
 
 
 def score_catalogue(users: DataFrame, items: DataFrame, k: int = 10, *, user_id: str = "user_id",
@@ -96,10 +98,16 @@ def match_labels(ranked: DataFrame, user_id: str = "user_id", score: str = "scor
     return ranked.withColumns({"match_pct": pct, "rank_label": F.concat(F.lit("#"), F.col("rank").cast("string"))})
 
 
-def fit_factors(samples: DataFrame, rank: int = 64, iterations: int = 10, reg: float = 0.1, seed: int = 42) -> ALSModel:
-    """Factor model over (user_idx, item_idx, label) samples."""
+def factor_blocks(rows: int) -> int:
+    """Blocks of either side for so many samples: a task reads those of one block, so their number grows with the samples."""
+    return max(FACTOR_BLOCKS, -(-rows // SAMPLES_PER_BLOCK))
+
+
+def fit_factors(samples: DataFrame, rank: int = 64, iterations: int = 10, reg: float = 0.1, seed: int = 42, rows: int = 0) -> ALSModel:
+    """Factor model over (user_idx, item_idx, label) samples; ``rows`` is about their number, where it is large."""
+    blocks = factor_blocks(rows)
     als = ALS(rank=rank, maxIter=iterations, regParam=reg, seed=seed, userCol="user_idx", itemCol="item_idx",
-              ratingCol="label", coldStartStrategy="drop")
+              ratingCol="label", coldStartStrategy="drop", numUserBlocks=blocks, numItemBlocks=blocks)
     return als.fit(samples.select(F.col("user_idx").cast("int"), F.col("item_idx").cast("int"), "label"))
 
 

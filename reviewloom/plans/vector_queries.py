@@ -313,7 +313,9 @@ WITH {REVIEWS_SQL} SELECT 'user' AS side, 8 AS dim, count(DISTINCT user_id) AS r
 def factor_model(spark: SparkSession, sf: str) -> DataFrame:
     indexed, users, items = index_tables(spark, sf)
     samples = sampling.training_samples(indexed, users.count(), items.count(), ("user_id", "item_id", "event_timestamp"))
-    user_factors, item_factors = recommend.factor_tables(recommend.fit_factors(samples, rank=8, iterations=3))
+    # Each interaction gives itself and three drawn pairs.
+    model = recommend.fit_factors(samples, rank=8, iterations=3, rows=4 * indexed.count())
+    user_factors, item_factors = recommend.factor_tables(model)
     sides = (user_factors.select(F.lit("user").alias("side"), F.size("user_vec").alias("dim"))
              .unionByName(item_factors.select(F.lit("item").alias("side"), F.size("item_vec").alias("dim"))))
     return sides.groupBy("side", "dim").agg(F.count("*").alias("rows"))
