@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +25,8 @@ from reviewloom.session import discard, written
 
 BLOCK_VECTORS = 2_048
 ROUND_BYTES = 64 << 20    # vectors of one round as doubles
+ROUND_VECTORS = 1 << 20   # of short vectors so many at most, whose ids take as much
+STRIPE = 512              # queries that meet the blocks at a time
 CENTRES = 64              # groups of like direction that blocks are cut from
 FIT_VECTORS = 16_384      # vectors that these are learnt on
 SLACK = 2 * 10.0 ** -RANK_DIGITS  # rounding of scores, which bounds must not fall below
@@ -84,14 +87,14 @@ def _rounds(blocks: list[tuple[str, float, int]], most: int) -> list[list[tuple[
     return out
 
 
-def _merge(best: list[tuple[float, object]], scores: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[float, object]]:
+def _merge(best: list[tuple[float, object]], scores: np.ndarray, ids: pa.Array, k: int) -> list[tuple[float, object]]:
     """The ``k`` best of what there is and of a block whose ids are in order; entries are (minus score, id)."""
     floor = -best[-1][0] if len(best) == k else -np.inf
     if len(scores) > k:
         floor = max(floor, np.partition(scores, len(scores) - k)[-k])
     at = np.flatnonzero(scores >= floor)
     at = at[np.argsort(-scores[at], kind="stable")][:k]
-    return sorted(best + [(-float(scores[i]), ids[i]) for i in at])[:k]
+    return sorted(best + list(zip((-scores[at]).tolist(), ids.take(pa.array(at)).to_pylist())))[:k]
 
 
 def pruned_top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, *, query_id: str = "query_id", query_vec: str = "query_vec",
@@ -114,7 +117,7 @@ def pruned_top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, *, query_id
     if first is None or asked.isEmpty():
         return spark.createDataFrame([], found_schema), spark.createDataFrame([], report_schema)
     blocked, blocks = _blocked(prepared, seed)
-    rounds = _rounds(blocks, max(1, round_bytes // (8 * len(first["vec"]))))
+    rounds = _rounds(blocks, max(1, min(ROUND_VECTORS, round_bytes // (8 * len(first["vec"])))))
     of_block = spark.createDataFrame([(b, i) for i, r in enumerate(rounds) for b, _, _ in r], "block string, round int")
     path_rows = written_by_round(join_counted(blocked, of_block, "block", "inner"))
     discard(blocked)
@@ -153,18 +156,24 @@ def written_by_round(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.parquet(path)
 
 
-def _packed(rows: DataFrame) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, float, float]]:
-    """Blocks of one round: ids in order, vectors, centre, radius and largest norm."""
-    held: dict[str, list] = {}
-    for r in rows.select("block", "id", "vec").collect():
-        held.setdefault(r["block"], []).append((r["id"], r["vec"]))
+def _packed(rows: DataFrame) -> list[tuple[pa.Array, np.ndarray, np.ndarray, float, float]]:
+    """Blocks of one round: ids in order, vectors, centre, radius and largest norm; ids and vectors stay Arrow and numpy."""
+    held = rows.select("block", "id", "vec").toArrow().combine_chunks()
+    held = held.take(pc.sort_indices(held.select(["block", "id"]), sort_keys=[("block", "ascending"), ("id", "ascending")]))
+    if not held.num_rows:
+        return []
+    names, ids = held.column("block").combine_chunks(), held.column("id").combine_chunks()
+    vectors = held.column("vec").combine_chunks().flatten().to_numpy().reshape(held.num_rows, -1)
+    runs = pc.run_end_encode(names)
+    ends = runs.run_ends.to_numpy()
     out = []
-    for block in sorted(held):
-        members = sorted(held[block], key=lambda m: m[0])
-        values = np.array([v for _, v in members])
+    for start, end in zip(np.concatenate([[0], ends[:-1]]), ends):
+        values = vectors[start:end].copy()
         centre = values.mean(axis=0)
         radius = float(np.sqrt(((values - centre) ** 2).sum(axis=1).max()))
-        out.append((np.array([i for i, _ in members], dtype=object), values, centre, radius, float(np.sqrt((values ** 2).sum(axis=1).max()))))
+        # Joined anew, so that a block does not carry the ids of its whole round.
+        own = pa.concat_arrays([ids.slice(start, end - start), ids.slice(0, 0)])
+        out.append((own, values, centre, radius, float(np.sqrt((values ** 2).sum(axis=1).max()))))
     return sorted(out, key=lambda b: -b[4])
 
 
@@ -177,9 +186,8 @@ def _step(sent, k: int, left: float | None, schema: T.StructType):
         blocks = sent.value
         centres = np.array([b[2] for b in blocks])
         radii, tops = np.array([b[3] for b in blocks]), np.array([b[4] for b in blocks])
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        # A stripe's scores against one block, and its bounds on all blocks, are what a task holds beside the round.
+        for batch in (b.slice(at, STRIPE) for b in batches for at in range(0, b.num_rows, STRIPE)):
             q = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
             norms = np.sqrt((q ** 2).sum(axis=1))
             best = [sorted(zip((-s for s in scores), ids)) for ids, scores in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]

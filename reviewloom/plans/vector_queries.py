@@ -15,7 +15,7 @@ from reviewloom.operators.pruned import pruned_top_k
 from reviewloom.operators.topk import top_k
 from reviewloom.plans.catalogue import REVIEWS_SQL, query
 from reviewloom.plans.review_queries import index_tables
-from reviewloom.session import scratch_path, spread
+from reviewloom.session import scratch_path, spread, written
 from reviewloom.sources import driver_tables as dt
 from reviewloom.store.vector_index import VectorIndex
 
@@ -227,12 +227,15 @@ items AS (SELECT parent_asin AS item_id, list_transform([1, 2, 3, 4, 5], lambda
 
 
 def star_histograms(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Small exact vectors for scoring: counts per star, scaled by powers of two."""
-    reviews = dt.reviews(spark, sf)
+    """Small exact vectors for scoring: counts per star, scaled by powers of two.
+
+    Written once each: a search reads them several times, and the reviews behind them are joined once for both.
+    """
+    reviews = written(dt.reviews(spark, sf).select("user_id", "parent_asin", "rating"), "stars")
 
     def counts(key: str, shift: int, scale: float, out: str) -> DataFrame:
         stars = F.array(*[(F.count_if(F.col("rating") == s) - shift) / F.lit(scale) for s in range(1, 6)])
-        return reviews.groupBy(key).agg(stars.alias(out))
+        return written(reviews.groupBy(key).agg(stars.alias(out)), out)
 
     items = counts("parent_asin", 6, 16.0, "item_vec").withColumnRenamed("parent_asin", "item_id")
     return counts("user_id", 0, 4.0, "user_vec"), items

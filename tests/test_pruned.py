@@ -1,6 +1,7 @@
 """The search by bounded blocks against the plain search."""
 
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 
 from reviewloom.operators import pruned
@@ -61,3 +62,21 @@ def test_odd_rows_few_rows_and_text_ids(spark):
     named = spark.createDataFrame([("b", [1.0]), ("a", [1.0])], "vid string, embedding array<float>")
     asked = spark.createDataFrame([("q", [2.0])], "query_id string, query_vec array<float>")
     assert [(r.vector_id, r.rank) for r in pruned_top_k(asked, named, 2, vector_id="vid", metric="dot")[0].orderBy("rank").collect()] == [("a", 1), ("b", 2)]
+
+
+def test_a_round_and_a_stripe_have_bounds(spark, monkeypatch):
+    """Short vectors do not make a round of millions of ids, and queries meet the blocks a few at a time, with the same result."""
+    from reviewloom.operators import pruned
+    from reviewloom.operators.topk import top_k
+    rng = np.random.default_rng(8)
+    items = spark.createDataFrame([(f"i{n}", [float(x) for x in rng.integers(-3, 4, 3)]) for n in range(700)], "vector_id string, embedding array<double>")
+    asked = spark.createDataFrame([(f"q{n}", [float(x) for x in rng.integers(-3, 4, 3)]) for n in range(90)], "query_id string, query_vec array<double>")
+    monkeypatch.setattr(pruned, "ROUND_VECTORS", 200)
+    monkeypatch.setattr(pruned, "STRIPE", 7)
+    monkeypatch.setattr(pruned, "BLOCK_VECTORS", 50)
+    found, report = pruned.pruned_top_k(asked, items, 4, metric="dot")
+    assert max(r["vectors"] for r in report.collect()) <= 200
+    exact = top_k(asked, items, 4, metric="dot")
+    assert {tuple(r) for r in found.select(*exact.columns).collect()} == {tuple(r) for r in exact.collect()}
+    packed = pruned._packed(items.select(F.lit("b").alias("block"), F.col("vector_id").alias("id"), F.col("embedding").alias("vec")))
+    assert len(packed) == 1 and not isinstance(packed[0][0], np.ndarray) and packed[0][0].to_pylist() == sorted(f"i{n}" for n in range(700))
