@@ -314,20 +314,21 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80, text: s
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _marked(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    return shared.join(labels, "node", "left").select("group", "node", F.coalesce("component", "node").alias("component"))
-
-
 def _open(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
     """``group``, ``node``, ``component``: what may still be linked, one group for every component that strays share buckets with.
 
-    In a bucket whose members lie in several components, the others are strays of its
-    largest one.  Buckets are reduced to their components first, so a document is here
-    once for each such component and not once for every bucket.
+    In a bucket whose members lie in several components, the others are strays of the one
+    with most documents anywhere.  Buckets are reduced to their components first, so a document is here
+    once for each such component and not once for every bucket; a component is in no group
+    of a smaller one, so a large one does not come again with every straggler that it shares a bucket with.
     """
-    parts = _marked(members, labels).groupBy("group", "component").agg(F.count("*").alias("_n"))
+    sizes = labels.groupBy("component").agg(F.count("*").alias("_size"))
+    sized = labels.join(written(sizes, "sizes"), "component")
+    parts = members.join(sized, "node", "left").select("group", F.coalesce("component", "node").alias("component"),
+                                                       F.coalesce("_size", F.lit(1)).alias("_size")).distinct()
     parts = written(parts, "parts")
-    mains = parts.groupBy("group").agg(F.max_by("component", "_n").alias("_main"), F.count("*").alias("_parts")).filter("_parts > 1")
+    mains = parts.groupBy("group").agg(F.max_by("component", F.struct("_size", "component")).alias("_main"),
+                                       F.count("*").alias("_parts")).filter("_parts > 1")
     met = parts.join(written(mains.drop("_parts"), "mains"), "group").select(F.col("_main").alias("group"), "component").distinct()
     placed = nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
     return written(placed.join(written(met, "met"), "component").select("group", "node", "component"), "rest")

@@ -82,3 +82,12 @@ def test_components(spark):
     links = [(5, 1), (5, 7), (7, 9), (20, 21), (22, 21), (30, 30)] + [(100 + i, 101 + i) for i in range(50)]
     got = {r[0]: r[1] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {k: v for k, v in brute.roots({x for p in links for x in p}, links).items() if k != 30}
+
+
+def test_a_large_component_does_not_come_again_with_every_straggler(spark):
+    """Each of twenty linked documents shares a bucket with a pair of its own that is more of that bucket."""
+    large, pairs = list(range(20)), [(100 + 2 * i, 101 + 2 * i) for i in range(20)]
+    labels = spark.createDataFrame([(n, 0) for n in large] + [(n, a) for a, b in pairs for n in (a, b)], "node long, component long")
+    members = spark.createDataFrame([(1000 + i, n) for i in large for n in (i, *pairs[i])], "group long, node long")
+    rest = [tuple(r) for r in minhash._open(members, labels.select("node"), labels).collect()]
+    assert sorted(rest) == [(0, n, 0) for n in large] + [(0, n, a) for a, b in pairs for n in (a, b)]
