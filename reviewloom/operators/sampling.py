@@ -126,12 +126,24 @@ def random_splits(df: DataFrame, shares: Mapping[str, float], seed: int = 42) ->
 INTERACTION_SHARES = {"train": 0.9, "val": 0.1}
 
 
-def _drawn_pair(draw: Column, keys: tuple[str, ...], n_users: int, n_items: int, seed: int) -> Column:
-    """A random (user, item) index pair named by the digest of the row key and the draw number."""
+def _drawn(indexed: DataFrame, first: int, n_users: int, n_items: int, keys: tuple[str, ...], ratio: int, seed: int) -> DataFrame:
+    """Index pairs named by the digest of the row key and the draw number, for draws from ``first``; draw 0 is the interaction itself.
+
+    Rows unfold into draw numbers before the digests are taken: inside a higher-order function these would not be compiled.
+    """
+    draws = [F.lit(d) for d in range(first, ratio + 1)]
+    rows = indexed.select("user_idx", "item_idx", "label", *[F.col(k).cast("string").alias(f"_key{i}") for i, k in enumerate(keys)],
+                          F.explode(F.array(*draws) if draws else F.array().cast("array<int>")).alias("_draw"))
+    texts = [F.col("_draw"), *[F.col(f"_key{i}") for i in range(len(keys))]]
+
     def index(side: str, size: int) -> Column:
-        return digest_number(digest(draw, *keys, F.lit(side), seed=seed)) % size
+        return digest_number(digest(*texts, F.lit(side), seed=seed)) % size
+
+    def chosen(own: str, kind: str, drawn: Column) -> Column:
+        return (drawn if first else F.when(F.col("_draw") == 0, F.col(own).cast(kind)).otherwise(drawn)).alias(own)
 
-    return F.struct(index("user", n_users).alias("user_idx"), index("item", n_items).alias("item_idx"), F.lit(0.0).alias("label"))
+    return rows.select(chosen("user_idx", "bigint", index("user", n_users)), chosen("item_idx", "bigint", index("item", n_items)),
+                       chosen("label", "double", F.lit(0.0)))
 
 
 def negative_pairs(indexed: DataFrame, n_users: int, n_items: int, keys: tuple[str, ...], ratio: int = 3,
@@ -142,8 +154,7 @@ def negative_pairs(indexed: DataFrame, n_users: int, n_items: int, keys: tuple[s
     id table is joined.  Identical interactions draw the same pairs.  Seen pairs are left
     in unless ``exclude_seen`` is set.
     """
-    draws = F.transform(F.sequence(F.lit(1), F.lit(ratio)), lambda d: _drawn_pair(d, keys, n_users, n_items, seed))
-    pairs = indexed.select(F.explode(draws).alias("_pair")).select("_pair.*")
+    pairs = _drawn(indexed, 1, n_users, n_items, keys, ratio, seed)
     if not exclude_seen:
         return pairs
     # Distinct first: a pair drawn or seen often is one row on the other side of the join.
@@ -158,7 +169,4 @@ def training_samples(indexed: DataFrame, n_users: int, n_items: int, keys: tuple
         observed = indexed.select("user_idx", "item_idx", "label")
         return observed.unionByName(negative_pairs(indexed, n_users, n_items, keys, ratio, seed, exclude_seen))
     # One pass: each interaction unfolds into itself and its draws.
-    own = F.array(F.struct(F.col("user_idx").cast("bigint").alias("user_idx"), F.col("item_idx").cast("bigint").alias("item_idx"),
-                           F.col("label").cast("double").alias("label")))
-    draws = F.transform(F.sequence(F.lit(1), F.lit(ratio)), lambda d: _drawn_pair(d, keys, n_users, n_items, seed))
-    return indexed.select(F.explode(F.concat(own, draws)).alias("_pair")).select("_pair.*")
+    return _drawn(indexed, 0, n_users, n_items, keys, ratio, seed)

@@ -122,3 +122,13 @@ def test_labelled_interactions_and_fill(spark):
         labelled_interactions(df.drop("rating"))
     filled = fill_features(spark.createDataFrame([(None, 2)], "a double, b bigint"), ("a", "b", "c")).first()
     assert tuple(filled) == (0.0, 2, 0.0)
+
+
+def test_digests_of_draws_are_compiled(spark):
+    """A digest inside a higher-order function is interpreted row by row."""
+    df = spark.createDataFrame([(1, 2, 1.0, "u", "i", 5)], "user_idx int, item_idx int, label double, user_id string, item_id string, event_timestamp bigint")
+    keys = ("user_id", "item_id", "event_timestamp")
+    for unseen in (False, True):
+        made = sampling.training_samples(df, 10, 10, keys, exclude_seen=unseen)
+        assert "lambda" not in made._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(made.columns) == ["item_idx", "label", "user_idx"]
