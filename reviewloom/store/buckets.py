@@ -138,22 +138,37 @@ class BucketTable:
 
     # Reading
 
-    def rows(self, of: dict[int, list[int]] | None = None, commits: list[Commit] | None = None) -> DataFrame | None:
-        """The table's rows, or those of some buckets (numbers by bucket count, as tables may be rebuilt with another); None if empty."""
+    def _wanted(self, of: dict[int, list[int]] | None, commits: list[Commit] | None) -> list[tuple[Commit, frozenset[int]]]:
         wanted = []
         for commit, kept in self.live(commits):
             kept = kept if of is None else kept & set(of.get(commit.buckets, range(commit.buckets)))
             if kept:
                 wanted.append((commit, kept))
+        return wanted
+
+    def stored(self, of: dict[int, list[int]] | None = None, commits: list[Commit] | None = None) -> DataFrame | None:
+        """Rows as they lie in the versions, several of a key among them; None if empty."""
+        wanted = self._wanted(of, commits)
+        return _union([self._part(c, kept).drop("_order") for c, kept in wanted]) if wanted else None
+
+    def rows(self, of: dict[int, list[int]] | None = None, commits: list[Commit] | None = None,
+             chosen: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame | None:
+        """The table's rows, or those of some buckets (numbers by bucket count, as tables may be rebuilt with another); None if empty.
+
+        ``chosen`` keeps all or none of a key's stored rows and is applied before several versions are combined.
+        """
+        wanted = self._wanted(of, commits)
         if not wanted:
             return None
         counts = {c.buckets for c, _ in wanted}
         # With one count of buckets, those that lie in one version alone have nothing to combine.
         single = {b for b in set().union(*(k for _, k in wanted)) if len(counts) == 1 and sum(b in k for _, k in wanted) == 1}
+        keep = chosen or (lambda rows: rows)
         alone = [self._part(c, kept & single).drop("_order") for c, kept in wanted if kept & single]
+        alone = [keep(_union([a.select(*alone[0].columns) for a in alone]))] if alone else []
         several = [self._part(c, kept - single) for c, kept in wanted if kept - single]
         if several:
-            alone.append(self.combine(_union(several)))
+            alone.append(self.combine(keep(_union(several))))
         return _union([a.select(*alone[0].columns) for a in alone])
 
     def _part(self, commit: Commit, kept: Iterable[int]) -> DataFrame:

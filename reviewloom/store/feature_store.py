@@ -246,9 +246,16 @@ class FeatureStore:
         of: dict[int, list[int]] = {}
         for c in unpublished:
             of[c.buckets] = sorted({*of.get(c.buckets, []), *c.filled})
-        rows = join_unique(state.rows(of, commits), touched.distinct(), view.keys, "inner")
-        state.compact()
-        return partial.finish(rows), newest
+        # Rewritten first, so that buckets of many versions are combined once and not here again; a
+        # rewriting that took in a version of another run is left to that run.
+        done = state.compact()
+        if done is not None and done.folds <= {c.version for c in commits}:
+            commits = [*commits, done]
+        # Touched keys are picked from the stored rows, before these are combined: heavy ones are counted without that
+        # work, and what is joined by key needs no other shuffle to be combined and finished.
+        touched = touched.distinct()
+        load = key_load(state.stored(of, commits), view.keys)
+        return partial.finish(state.rows(of, commits, lambda rows: join_unique(rows, touched, view.keys, "inner", load))), newest
 
     def _raw_keys(self, view: FeatureView, raw: DataFrame) -> list[str]:
         """Key columns of the raw rows; a view function may rename ``parent_asin`` to ``item_id``."""

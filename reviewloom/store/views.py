@@ -99,19 +99,22 @@ def review_embeddings_view(source: Source, encoder: Callable[[], Encoder] | None
 
 
 def partial_views(source: Source) -> list[FeatureView]:
-    """User and item features kept up to date from stored totals per user and item, without reading history."""
-    def fold(key: str) -> Callable[[DataFrame], DataFrame]:
-        return lambda raw: ft.pair_totals(normalize_reviews(raw)).withColumnsRenamed({"parent_asin": "item_id"} if key == "item_id" else {})
+    """User and item features kept up to date from stored totals per user, item and category, without reading history."""
+    def fold_items(raw: DataFrame) -> DataFrame:
+        return fold(raw).withColumnRenamed("parent_asin", "item_id")
 
-    def combine(key: str) -> Callable[[DataFrame], DataFrame]:
-        return lambda pairs: ft.added_totals(pairs, ["user_id", "item_id" if key == "item_id" else "parent_asin"])
+    def fold(raw: DataFrame) -> DataFrame:
+        return ft.category_totals(normalize_reviews(raw))
 
-    def finish_items(pairs: DataFrame) -> DataFrame:
-        return ft.item_features_of(pairs.withColumnRenamed("item_id", "parent_asin"))
+    def combine(item: str) -> Callable[[DataFrame], DataFrame]:
+        return lambda totals: ft.added_totals(totals, ["user_id", item, "category"])
+
+    def finish_items(totals: DataFrame) -> DataFrame:
+        return ft.item_features_of(totals.withColumnRenamed("item_id", "parent_asin"))
 
     return [
         FeatureView("user_features", (USER,), USER_SCHEMA, source, FEATURE_TTL,
-                    partial=Partial(fold("user_id"), combine("user_id"), ft.user_features_of)),
+                    partial=Partial(fold, combine("parent_asin"), ft.user_features_by_category)),
         FeatureView("item_features", (ITEM,), ITEM_SCHEMA, source, FEATURE_TTL,
-                    partial=Partial(fold("item_id"), combine("item_id"), finish_items)),
+                    partial=Partial(fold_items, combine("item_id"), finish_items)),
     ]
