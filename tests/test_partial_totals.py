@@ -38,3 +38,14 @@ def test_partial_results_are_kept_in_hash_tables(spark):
             plan = made._jdf.queryExecution().executedPlan().toString()
             assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
         assert added.agg(F.sum("n")).first()[0] == 2 * len(ROWS)
+
+
+def test_the_narrower_features_are_joined_first(spark):
+    """What is joined first is shuffled again for the second join."""
+    from reviewloom.plans.work_queries import with_features
+    reviews = spark.createDataFrame(ROWS, SCHEMA)
+    pairs = reviews.select("user_id", F.col("parent_asin").alias("item_id")).distinct()
+    made = with_features(pairs, ft.user_features(reviews), ft.item_features(reviews))
+    joins = [line for line in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+    assert "user_id" in joins[0] and "item_id" in joins[1]
+    assert made.count() == 3 and {r.item_review_count for r in made.collect()} == {5, 1}
