@@ -24,6 +24,7 @@ from reviewloom.operators.skew import join_counted
 FEW_QUERIES = 4_096
 BLOCK_QUERIES = 4_096
 BLOCK_VECTORS = 65_536
+CLUSTER_BLOCK = 16_384  # vectors of a cluster that meet its queries in one Python task, which holds them several times
 QUERY_STRIPE, VECTOR_STRIPE = 256, 4_096
 MIN_BLOCK = 1_024
 # Every row is sent to each cell of its grid row or column.  Up to so many cells a side as
@@ -242,7 +243,7 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, *, query_id: str =
 
 def cluster_top_k(probes: DataFrame, clustered: DataFrame, k: int = 5, *, query_id: str = "query_id",
                   query_vec: str = "query_vec", vector_id: str = "vector_id", vector_vec: str = "embedding",
-                  metric: str = "cosine", block_vectors: int = BLOCK_VECTORS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
+                  metric: str = "cosine", block_vectors: int = CLUSTER_BLOCK, block_queries: int = BLOCK_QUERIES) -> DataFrame:
     """Top-k among the vectors of the probed clusters.
 
     ``probes`` lists (query, cluster); both frames carry ``cluster``.  Large clusters and

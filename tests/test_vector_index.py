@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from reviewloom.operators import topk
 from reviewloom.operators.topk import top_k
 from reviewloom.store import vector_index
 from reviewloom.store.vector_index import VectorIndex
@@ -88,3 +89,14 @@ def test_odd_vectors_take_no_part_and_few_rows(spark, tmp_path):
     assert {(r.query_id, r.vector_id) for r in index.search(asked, 5, nprobe=8).collect()} == {(1, 6), (1, 7)}
     assert index.build(frame(spark, [(1, [2.0, 1.0])])).rows == 1
     assert {(r.query_id, r.vector_id, round(r.score, 6)) for r in index.search(asked, 5).collect()} == {(1, 1, round(7 / 50 ** 0.5, 6))}
+
+
+def test_a_large_cluster_is_searched_in_bounded_blocks(spark, monkeypatch):
+    """A Python task holds one block several times over, so its size must not follow the cluster's."""
+    asked = spark.createDataFrame([(1, [1.0, 0.0], 0)], "query_id bigint, query_vec array<double>, cluster int")
+    rows = spark.range(40_000).selectExpr("id AS vector_id", "array(cos(id / 40000.0), sin(id / 40000.0)) AS embedding", "0 AS cluster")
+    seen, search = [], topk._block_search
+    monkeypatch.setattr(topk, "_block_search", lambda left, right, blocks, *rest: seen.append(blocks) or search(left, right, blocks, *rest))
+    found = topk.cluster_top_k(asked, rows, 3)
+    assert [r.vector_id for r in found.orderBy("rank").collect()] == [0, 1, 2]
+    assert seen == [3]
