@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.ml.recommendation import ALS, ALSModel
+from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.functions.vectors import dot, sigmoid
+from reviewloom.operators.factors import alternate
 from reviewloom.operators.pruned import pruned_top_k
 from reviewloom.operators.skew import join_unique, key_loads
 from reviewloom.operators.topk import FEW_QUERIES, top_k
 from reviewloom.session import written
 
 SCORE_DIGITS = 4
-FACTOR_BLOCKS = 10              # blocks of users and of items that a factor model has at least
-SAMPLES_PER_BLOCK = 4_000_000   # of either side, some 100 bytes each while they are dealt out
+FACTOR_BLOCKS = 10              # tasks that put the samples of a factor model in order, at least
+SAMPLES_PER_BLOCK = 4_000_000   # that such a task sorts, some 40 bytes each
 
 
 def score_catalogue(users: DataFrame, items: DataFrame, k: int = 10, *, user_id: str = "user_id",
@@ -99,16 +100,13 @@ def match_labels(ranked: DataFrame, user_id: str = "user_id", score: str = "scor
 
 
 def factor_blocks(rows: int) -> int:
-    """Blocks of either side for so many samples: a task reads those of one block, so their number grows with the samples."""
+    """Tasks that put so many samples in order: each sorts those of one block, so their number grows with the samples."""
     return max(FACTOR_BLOCKS, -(-rows // SAMPLES_PER_BLOCK))
 
 
 def fit_factors(samples: DataFrame, rank: int = 64, iterations: int = 10, reg: float = 0.1, seed: int = 42, rows: int = 0) -> ALSModel:
     """Factor model over (user_idx, item_idx, label) samples; ``rows`` is about their number, where it is large."""
-    blocks = factor_blocks(rows)
-    als = ALS(rank=rank, maxIter=iterations, regParam=reg, seed=seed, userCol="user_idx", itemCol="item_idx",
-              ratingCol="label", coldStartStrategy="drop", numUserBlocks=blocks, numItemBlocks=blocks)
-    return als.fit(samples.select(F.col("user_idx").cast("int"), F.col("item_idx").cast("int"), "label"))
+    return alternate(samples, rank, iterations, reg, seed, factor_blocks(rows))
 
 
 def factor_tables(model: ALSModel) -> tuple[DataFrame, DataFrame]:

@@ -17,7 +17,7 @@ from reviewloom.operators.asof import asof_join
 from reviewloom.operators.ordered import dense_index
 from reviewloom.plans import jobs
 from reviewloom.plans.catalogue import (CLEAN_SQL, DOC_REVIEWS_SQL, ITEMS_SQL, REVIEWS_SQL, USERS_SQL, hex_number, query)
-from reviewloom.session import scratch_path, written
+from reviewloom.session import discard, scratch_path, written
 from reviewloom.sources import driver_tables as dt
 from reviewloom.sources import readers, writers
 from reviewloom.store import Entity, FeatureStore, FeatureView, Source
@@ -414,10 +414,15 @@ def indexed_interactions(spark: SparkSession, sf: str) -> DataFrame:
     return joins.restore_ids(pairs, users, items)
 
 
-def index_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def index_tables(spark: SparkSession, sf: str, columns: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Indexed interactions, users and items; with ``columns`` the interactions are written with these only, and what they come from goes."""
     pairs = written(ft.interactions(dt.reviews(spark, sf)), "interactions")
     users, items = dense_index(pairs, "user_id", "user_idx"), dense_index(pairs, "item_id", "item_idx")
-    return joins.index_interactions(pairs, users, items), users, items
+    indexed = joins.index_interactions(pairs, users, items)
+    if columns:
+        indexed = written(indexed.select(*columns), "indexed")
+        discard(pairs)
+    return indexed, users, items
 
 
 # Dedup

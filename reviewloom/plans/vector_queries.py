@@ -314,7 +314,8 @@ def top_items_per_user(spark: SparkSession, sf: str) -> DataFrame:
 @query("factor_model", f"""
 WITH {REVIEWS_SQL} SELECT 'user' AS side, 8 AS dim, count(DISTINCT user_id) AS rows FROM reviews UNION ALL SELECT 'item', 8, count(DISTINCT parent_asin) FROM reviews""")
 def factor_model(spark: SparkSession, sf: str) -> DataFrame:
-    indexed, users, items = index_tables(spark, sf)
+    # Written once: the samples and their number read it.
+    indexed, users, items = index_tables(spark, sf, ("user_idx", "item_idx", "label", "user_id", "item_id", "event_timestamp"))
     samples = sampling.training_samples(indexed, users.count(), items.count(), ("user_id", "item_id", "event_timestamp"))
     # Each interaction gives itself and three drawn pairs.
     model = recommend.fit_factors(samples, rank=8, iterations=3, rows=4 * indexed.count())
